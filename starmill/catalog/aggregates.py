@@ -12,7 +12,7 @@ from starmill.catalog.bindings import (
     table,
 )
 from starmill.catalog.registry import query
-from starmill.functions.buckets import percentage, rounded_mean, rounded_stddev
+from starmill.functions.buckets import median_value, percentage, rounded_mean, rounded_stddev
 from starmill.plans.helpful_model import median_price
 
 
@@ -90,19 +90,22 @@ def agg_count_distinct(spark, sf_dir):
     )
 
 
-@query(
-    "agg_median",
-    f"""
+MEDIAN_VOTES = f"""
     SELECT rating, quantile_disc(helpful_votes, 0.5) AS median_votes
     FROM ({LINE_REVIEWS}) GROUP BY rating
-    """,
-)
+"""
+
+
+@query("agg_median", MEDIAN_VOTES)
 def agg_median(spark, sf_dir):
-    return (
-        line_reviews(spark, sf_dir)
-        .groupBy("rating")
-        .agg(F.percentile_approx("helpful_votes", 0.5).alias("median_votes"))
-    )
+    median = F.percentile_approx("helpful_votes", 0.5)
+    return line_reviews(spark, sf_dir).groupBy("rating").agg(median.alias("median_votes"))
+
+
+@query("agg_median_exact", MEDIAN_VOTES)
+def agg_median_exact(spark, sf_dir):
+    median = median_value("helpful_votes").cast("int")
+    return line_reviews(spark, sf_dir).groupBy("rating").agg(median.alias("median_votes"))
 
 
 @query(

@@ -74,7 +74,7 @@ def _words(spark, sf_dir):
     return (
         document_reviews(spark, sf_dir)
         .select(F.col("reviewerID").alias("doc_id"), F.explode(word_array(text)).alias("word"))
-        .where("word <> ''")
+        .select("doc_id", F.lower("word").alias("word"))
     )
 
 

@@ -118,7 +118,9 @@ def bucketize(spark, sf_dir):
         "rating",
         "helpful_votes",
         bucket_order(F.col("helpful_votes"), (2, 4)).alias("votes_order"),
-        bucket_label(F.col("review_length"), LENGTH_EDGES, LENGTH_LABELS).alias("length_bucket"),
+        bucket_label(bucket_order(F.col("review_length"), LENGTH_EDGES), LENGTH_LABELS).alias(
+            "length_bucket"
+        ),
     )
 
 

@@ -18,22 +18,15 @@ PRICE_LABELS = ("$0-9.99", "$10-24.99", "$25-49.99", "$50-74.99", "$75-99.99", "
 
 def bucket_order(value: Column, edges: Sequence[float]) -> Column:
     """1-based number of the bucket a value falls in; null stays null."""
-    return _pick(value, edges, range(1, len(edges) + 2))
+    order = F.when(value.isNull(), None)
+    for position, edge in enumerate(edges, start=1):
+        order = order.when(value < edge, F.lit(position))
+    return order.otherwise(F.lit(len(edges) + 1))
 
 
-def bucket_label(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Label of the bucket a value falls in; null stays null."""
-    if len(labels) != len(edges) + 1:
-        raise ValueError("need one label more than edges")
-    return _pick(value, edges, labels)
-
-
-def _pick(value: Column, edges: Sequence[float], results: Sequence) -> Column:
-    *bounded, last = results
-    picked = F.when(value.isNull(), None)
-    for edge, result in zip(edges, bounded, strict=True):
-        picked = picked.when(value < edge, F.lit(result))
-    return picked.otherwise(F.lit(last))
+def bucket_label(order: Column, labels: Sequence[str]) -> Column:
+    """Label of a bucket number. Group by the number and label the few results."""
+    return F.element_at(F.array(*[F.lit(label) for label in labels]), order)
 
 
 def rounded_mean(value: Column | str, digits: int) -> Column:
@@ -45,6 +38,15 @@ def rounded_stddev(value: Column | str, digits: int) -> Column:
     return F.round(F.stddev_samp(value), digits)
 
 
+def median_value(column: str) -> Column:
+    """The middle value itself as a double, never an interpolation, exact at any size.
+
+    Keeps one count per distinct value and merges them map-side: meant for votes and
+    other small whole numbers. Measures with unbounded values take percentile_approx.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}`)")
+
+
 def scaled_ratio(part: Column, whole: Column, scale: str, digits: int = 2) -> Column:
     """``part * scale / whole`` rounded half up in decimal arithmetic, as a double."""
     return F.round(part * F.lit(Decimal(scale)) / whole, digits).cast("double")

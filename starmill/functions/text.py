@@ -50,22 +50,18 @@ def split_words(normalized: Column) -> Column:
     return F.split(normalized, " +")
 
 
-def word_array(text: Column, word_chars: str = ASCII_WORD) -> Column:
-    """Same words as ``split_words(normalize_text(text))`` at a lower price.
+def word_array(text: Column, word_chars: str = ASCII_WORD, min_chars: int = 1) -> Column:
+    """All words of a text of at least ``min_chars`` characters, in their own case.
 
-    Runs of separators collapse in the one regular expression pass, so that the split
-    is on a single literal character and needs no pattern per row.
+    One pass that collects the words themselves: ``split_words(normalize_text(text))``
+    gives the same words in lower case, but rewrites the whole text twice to get them.
     """
-    return F.split(F.lower(F.regexp_replace(text, f"[^{word_chars}]+", " ")), " ")
+    return F.regexp_extract_all(text, F.lit(f"[{word_chars}]{{{min_chars},}}"), F.lit(0))
 
 
-def is_keyword(word: Column, stop_words: Iterable[str] = STOP_WORDS, min_chars: int = 3) -> Column:
-    """Long enough, not a number, and not one of a fixed list of stop words."""
-    return (
-        (F.length(word) >= min_chars)
-        & ~word.rlike("^[0-9]+$")
-        & ~word.isin(list(stop_words))
-    )
+def is_keyword(word: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    """Not a number, and not one of a fixed list of stop words."""
+    return ~word.rlike("^[0-9]+$") & ~word.isin(list(stop_words))
 
 
 def title_label(code: Column) -> Column:

@@ -22,8 +22,9 @@ def clean_tokens(
     token: str = "token",
 ) -> DataFrame:
     """One row per keyword occurrence with the columns ``keep`` of its text."""
-    words = df.select(*keep, F.explode(word_array(text, word_chars)).alias(token))
-    return words.where(is_keyword(F.col(token), stop_words, min_chars))
+    words = df.select(*keep, F.explode(word_array(text, word_chars, min_chars)).alias(token))
+    lowered = words.select(*keep, F.lower(token).alias(token))
+    return lowered.where(is_keyword(F.col(token), stop_words))
 
 
 def rank_keywords(tokens: DataFrame, group: str, token: str = "token", k: int = 40) -> DataFrame:

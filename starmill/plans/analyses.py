@@ -14,13 +14,14 @@ from starmill.functions.buckets import (
     PRICE_LABELS,
     bucket_label,
     bucket_order,
+    median_value,
     percentage,
     rounded_mean,
     rounded_stddev,
 )
 from starmill.functions.parsing import blank_to_default
-from starmill.operators.keywords import clean_tokens, rank_keywords
 from starmill.functions.text import ASCII_WORD, STOP_WORDS, join_texts
+from starmill.operators.keywords import clean_tokens, rank_keywords
 from starmill.operators.moments import Moments
 from starmill.operators.ranking import share_of_total, top_n
 from starmill.roles import REVIEW_ROLES, Roles
@@ -57,12 +58,17 @@ def rating_distribution(reviews: DataFrame, roles: Roles = REVIEW_ROLES) -> Data
     return share_of_total(counts, "review_count", "review_pct").orderBy("rating")
 
 
+COMPARED = [
+    "review_count", "avg_rating", "rating_stddev", "avg_helpful_votes", "avg_review_length"
+]
+
+
 def verified_compare(reviews: DataFrame, roles: Roles = REVIEW_ROLES) -> DataFrame:
     """Verified against other reviews; an unknown flag belongs to neither."""
-    label = F.when(F.col(roles.flag), "verified_purchase").otherwise("non_verified_purchase")
+    label = F.when(F.col("_flag"), "verified_purchase").otherwise("non_verified_purchase")
     return (
         reviews.where(F.col(roles.flag).isNotNull())
-        .groupBy(label.alias("purchase_type"))
+        .groupBy(F.col(roles.flag).alias("_flag"))
         .agg(
             F.count("*").alias("review_count"),
             rounded_mean(roles.score, 3).alias("avg_rating"),
@@ -70,7 +76,8 @@ def verified_compare(reviews: DataFrame, roles: Roles = REVIEW_ROLES) -> DataFra
             rounded_mean(roles.votes, 3).alias("avg_helpful_votes"),
             rounded_mean(roles.length, 1).alias("avg_review_length"),
         )
-        .orderBy(F.when(F.col("purchase_type") == "verified_purchase", 1).otherwise(2))
+        .orderBy(F.desc("_flag"))
+        .select(label.alias("purchase_type"), *COMPARED)
     )
 
 
@@ -82,21 +89,29 @@ def votes_by_length(
 ) -> DataFrame:
     """Votes per whole score and text length bucket."""
     score, votes, length = (F.col(c) for c in (roles.score, roles.votes, roles.length))
-    return (
+    cells = (
         reviews.where(score.isNotNull() & votes.isNotNull() & length.isNotNull())
         .groupBy(
             score.cast("int").alias("rating"),
             bucket_order(length, edges).alias("review_length_bucket_order"),
-            bucket_label(length, edges, labels).alias("review_length_bucket"),
         )
         .agg(
             F.count("*").alias("review_count"),
             rounded_mean(votes, 3).alias("avg_helpful_votes"),
-            F.percentile_approx(votes, 0.5).alias("median_helpful_votes"),
+            median_value(roles.votes).cast("int").alias("median_helpful_votes"),
             rounded_mean(length, 1).alias("avg_review_length"),
         )
-        .orderBy("rating", "review_length_bucket_order")
     )
+    label = bucket_label(F.col("review_length_bucket_order"), labels)
+    return cells.select(
+        "rating",
+        "review_length_bucket_order",
+        label.alias("review_length_bucket"),
+        "review_count",
+        "avg_helpful_votes",
+        "median_helpful_votes",
+        "avg_review_length",
+    ).orderBy("rating", "review_length_bucket_order")
 
 
 def user_frequency(
@@ -168,20 +183,23 @@ def price_buckets(
     priced = products.where(price.isNotNull() & (price >= 0)).select(roles.item, roles.price)
     items = _scores_per_item(reviews, roles, score).join(priced, roles.item)
     paid = F.sum(price * F.col(score.count_col))
-    return (
-        items.groupBy(
-            bucket_order(price, edges).alias("price_bucket_order"),
-            bucket_label(price, edges, labels).alias("price_bucket"),
-        )
-        .agg(
-            F.sum(score.count_col).alias("review_count"),
-            F.count_distinct(roles.item).alias("product_count"),
-            F.round(score.mean(), 3).alias("avg_rating"),
-            F.round(score.stddev(), 3).alias("rating_stddev"),
-            F.round(paid / F.sum(score.count_col), 2).alias("avg_price"),
-        )
-        .orderBy("price_bucket_order")
+    buckets = items.groupBy(bucket_order(price, edges).alias("price_bucket_order")).agg(
+        F.sum(score.count_col).alias("review_count"),
+        F.count_distinct(roles.item).alias("product_count"),
+        F.round(score.mean(), 3).alias("avg_rating"),
+        F.round(score.stddev(), 3).alias("rating_stddev"),
+        F.round(paid / F.sum(score.count_col), 2).alias("avg_price"),
     )
+    label = bucket_label(F.col("price_bucket_order"), labels)
+    return buckets.select(
+        "price_bucket_order",
+        label.alias("price_bucket"),
+        "review_count",
+        "product_count",
+        "avg_rating",
+        "rating_stddev",
+        "avg_price",
+    ).orderBy("price_bucket_order")
 
 
 def brand_ranking(
