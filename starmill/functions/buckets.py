@@ -26,7 +26,7 @@ def bucket_order(value: Column, edges: Sequence[float]) -> Column:
 
 def bucket_label(order: Column, labels: Sequence[str]) -> Column:
     """Label of a bucket number. Group by the number and label the few results."""
-    return F.element_at(F.array(*[F.lit(label) for label in labels]), order)
+    return F.get(F.array(*[F.lit(label) for label in labels]), order - 1)
 
 
 def rounded_mean(value: Column | str, digits: int) -> Column:
