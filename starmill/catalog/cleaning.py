@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmill.catalog.bindings import RAW_PRODUCTS, RAW_REVIEWS, raw_products, raw_reviews, table
+from starmill.catalog.bindings import (
+    RAW_PRODUCTS,
+    RAW_REVIEWS,
+    raw_products,
+    raw_reviews,
+    table,
+)
 from starmill.catalog.registry import query
 from starmill.operators.dedup import dedup_by_key
 from starmill.plans import cleaning
@@ -101,8 +107,10 @@ def _with_text_arrays(products):
     """,
 )
 def clean_counts(spark, sf_dir):
-    reviews = cleaning.review_counts(raw_reviews(spark, sf_dir))
-    products = cleaning.product_counts(raw_products(spark, sf_dir))
+    raw = raw_reviews(spark, sf_dir)
+    reviews = cleaning.review_counts(raw, cleaning.clean_reviews(raw))
+    raw = raw_products(spark, sf_dir)
+    products = cleaning.product_counts(raw, cleaning.clean_products(raw))
     return reviews.select(F.lit("reviews").alias("table_name"), "*").unionByName(
         products.select(F.lit("products").alias("table_name"), "*")
     )

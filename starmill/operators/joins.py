@@ -5,11 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A lookup below both bounds, as counted, is broadcast whole.
+SMALL_ROWS = 500_000
+SMALL_CHARS = 64_000_000
+
 # A key with more than 1/HOT_PARTS of the rows is hot, so there are fewer than
-# HOT_PARTS hot keys: that is what bounds the broadcasts below.
+# HOT_PARTS hot keys: that is what bounds the broadcasts of larger lookups.
 HOT_PARTS = 100_000
 
 
+def is_small(lookup: DataFrame, rows: int = SMALL_ROWS, chars: int = SMALL_CHARS) -> bool:
+    """Whether a lookup can be broadcast, from a count that stops after ``rows``."""
+    seen = (
+        lookup.limit(rows + 1)
+        .agg(
+            F.count("*").alias("rows"),
+            F.sum(F.length(F.to_json(F.struct("*")))).alias("chars"),
+        )
+        .first()
+    )
+    return seen["rows"] <= rows and (seen["chars"] or 0) <= chars
+
+
 def hot_keys(facts: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
     """Keys holding more than ``1/parts`` of the rows: fewer than ``parts`` of them."""
     return _hot(_sizes(facts, key), key, parts)
@@ -21,15 +38,20 @@ def lookup_join(
     key: str,
     how: str = "inner",
     parts: int = HOT_PARTS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """``facts`` with the columns of ``lookup``, which holds one row per key.
 
-    Rows of hot keys meet a broadcast of their few lookup rows and are never shuffled;
-    in a left join the same holds for null keys, which match nothing. All other rows
-    take an ordinary join, for which no key is large. The adaptive skew join cannot do
-    this when the lookup is itself an aggregate, since it must see both shuffles. If
-    no key is hot, the adaptive planner drops the hot branch before it scans anything.
+    A small lookup is broadcast. For a large one, rows of hot keys meet a broadcast of
+    their few lookup rows and are never shuffled, nor are rows without key in a left
+    join, which match nothing; all other rows take an ordinary join, for which no key
+    is large. The adaptive skew join cannot do this when the lookup is itself an
+    aggregate, since it must see both shuffles.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"lookups are inner or left joins, not {how}")
+    if is_small(lookup, small_rows):
+        return facts.join(F.broadcast(lookup), key, how)
     return _split_join(facts, lookup, key, how, hot_keys(facts, key, parts))
 
 
@@ -51,15 +73,17 @@ def _hot(sizes: DataFrame, key: str, parts: int, size: str = "_size") -> DataFra
 def _split_join(
     facts: DataFrame, lookup: DataFrame, key: str, how: str, hot: DataFrame
 ) -> DataFrame:
-    if how not in ("inner", "left"):
-        raise ValueError(f"lookups are inner or left joins, not {how}")
+    """Two scans of the facts: one joins what is hot or has no key, one the rest. If no
+    key is hot, an inner join's first scan is dropped at run time."""
     hot = F.broadcast(hot)
-    hot_lookup = F.broadcast(lookup.join(hot, key, "left_semi"))
-    keyed = facts.where(F.col(key).isNotNull())
-    joined = keyed.join(hot, key, "left_anti").join(lookup, key, how).unionByName(
-        keyed.join(hot, key, "left_semi").join(hot_lookup, key, how)
+    hot_lookup = lookup.join(hot, key, "left_semi")
+    cold = facts.where(F.col(key).isNotNull()).join(hot, key, "left_anti")
+    cold = cold.join(lookup, key, how)
+    if how == "inner":
+        return cold.unionByName(facts.join(F.broadcast(hot_lookup), key))
+    # Hot keys that the lookup lacks still need their rows, hence the keys come first.
+    marked = F.broadcast(
+        hot.join(hot_lookup, key, "left").withColumn("_hot", F.lit(True))
     )
-    if how == "left":
-        unkeyed = facts.where(F.col(key).isNull())
-        joined = joined.unionByName(unkeyed, allowMissingColumns=True)
-    return joined
+    kept = facts.join(marked, key, "left").where(F.col("_hot") | F.col(key).isNull())
+    return cold.unionByName(kept.drop("_hot"))

@@ -29,22 +29,14 @@ def sample_rows(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
     return df.select(*columns).limit(n)
 
 
-def clean_counts(raw: DataFrame, valid: Column, keys: Sequence[str | Column]) -> DataFrame:
-    """Rows before cleaning, rows failing ``valid``, surplus copies of a key, rows kept.
+def clean_counts(raw: DataFrame, valid: Column, cleaned: DataFrame) -> DataFrame:
+    """Rows before cleaning, rows failing ``valid``, surplus copies, and rows kept.
 
-    Counts per key first, so only keys are shuffled and a much copied key arrives as
-    one partial count per map task.
+    With ``cleaned`` read back from where it was written this costs a file footer count
+    and one scan of the columns behind ``valid``, and it states what is really there,
+    also when tasks had to run twice.
     """
-    per_key = (
-        raw.groupBy(valid.alias("_valid"), *keys)
-        .agg(F.count("*").alias("_rows"))
-        .agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("raw_rows"),
-            F.coalesce(F.sum(F.when(F.col("_valid"), 0).otherwise(F.col("_rows"))), F.lit(0)).alias(
-                "rejected_rows"
-            ),
-            F.count_if("_valid").alias("clean_rows"),
-        )
-    )
-    surplus = F.col("raw_rows") - F.col("rejected_rows") - F.col("clean_rows")
-    return per_key.select("raw_rows", "rejected_rows", surplus.alias("surplus_rows"), "clean_rows")
+    kept = cleaned.agg(F.count("*")).scalar()
+    counted = raw.agg(F.count("*").alias("raw_rows"), F.count_if(~valid).alias("rejected_rows"))
+    surplus = F.col("raw_rows") - F.col("rejected_rows") - kept
+    return counted.select("*", surplus.alias("surplus_rows"), kept.alias("clean_rows"))

@@ -71,11 +71,11 @@ def clean_products(raw: DataFrame, legacy: bool = False) -> DataFrame:
     )
 
 
-def review_counts(raw: DataFrame) -> DataFrame:
-    """How many raw reviews cleaning rejects, merges and keeps."""
-    return clean_counts(_typed_reviews(raw), _valid_review(), REVIEW_KEY)
+def review_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """How many raw reviews cleaning rejected, merged and kept."""
+    return clean_counts(_typed_reviews(raw), _valid_review(), cleaned)
 
 
-def product_counts(raw: DataFrame) -> DataFrame:
-    """How many raw products cleaning rejects, merges and keeps."""
-    return clean_counts(raw, F.col("asin").isNotNull(), PRODUCT_KEY)
+def product_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """How many raw products cleaning rejected, merged and kept."""
+    return clean_counts(raw, F.col("asin").isNotNull(), cleaned)

@@ -86,13 +86,16 @@ def profile(raw: dict[str, DataFrame], layout: Layout) -> None:
 def clean(raw: dict[str, DataFrame], layout: Layout, options: Options) -> None:
     """Write the clean tables and how many rows each lost."""
     for name, df in raw.items():
-        if name == PRODUCTS:
-            cleaned = cleaning.clean_products(df, options.legacy_parsing)
-            counts = cleaning.product_counts(df)
-        else:
-            cleaned, counts = cleaning.clean_reviews(df), cleaning.review_counts(df)
+        is_product = name == PRODUCTS
+        count = cleaning.product_counts if is_product else cleaning.review_counts
+        cleaned = (
+            cleaning.clean_products(df, options.legacy_parsing)
+            if is_product
+            else cleaning.clean_reviews(df)
+        )
         write_table(cleaned, layout.clean(name))
-        write_report(counts, layout.report(f"00_counts_{name}"))
+        written = read_table(df.sparkSession, layout.clean(name))
+        write_report(count(df, written), layout.report(f"00_counts_{name}"))
 
 
 def open_clean(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

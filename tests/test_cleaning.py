@@ -60,7 +60,7 @@ def test_incomplete_reviews_are_dropped(raw_reviews_of):
         {"_corrupt_record": "{broken"},
     )
     assert cleaning.clean_reviews(raw).count() == 1
-    assert rows(cleaning.review_counts(raw)) == [(6, 5, 0, 1)]
+    assert rows(cleaning.review_counts(raw, cleaning.clean_reviews(raw))) == [(6, 5, 0, 1)]
 
 
 def test_missing_values(raw_reviews_of):
@@ -84,7 +84,7 @@ def test_repeated_reviews_keep_one_and_the_same(raw_reviews_of):
         assert sorted(rows(clean.select("unix_time", "reviewText")), key=repr) == [
             (1355356800, "aa"), (7, "text"), (None, "b")
         ]
-    assert rows(cleaning.review_counts(raw)) == [(7, 0, 4, 3)]
+    assert rows(cleaning.review_counts(raw, cleaning.clean_reviews(raw))) == [(7, 0, 4, 3)]
 
 
 def test_a_third_of_all_rows_on_one_key(spark, raw_reviews_of):
@@ -122,4 +122,4 @@ def test_clean_products(spark):
     ]
     legacy = cleaning.clean_products(raw, legacy=True).orderBy("asin")
     assert rows(legacy.select("brand", "price")) == [("Sony", 1.0), ("BaToys", 5.0)]
-    assert rows(cleaning.product_counts(raw)) == [(4, 1, 1, 2)]
+    assert rows(cleaning.product_counts(raw, clean)) == [(4, 1, 1, 2)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.operators.dedup import dedup_by_key
-from starmill.operators.joins import hot_keys, lookup_join, with_group_size
+from starmill.operators.joins import hot_keys, is_small, lookup_join, with_group_size
 from starmill.operators.keywords import clean_tokens, rank_keywords
 from starmill.operators.moments import Moments
 from starmill.operators.profile import clean_counts, profile_table, sample_rows
@@ -40,7 +40,8 @@ def test_hot_keys_are_those_above_their_share(skewed):
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("parts", [1, 100, 100_000])
 def test_lookup_join_equals_a_plain_join(skewed, lookup, how, parts):
-    ours = lookup_join(skewed, lookup, "key", how, parts).select("row", "key", "name")
+    ours = lookup_join(skewed, lookup, "key", how, parts, small_rows=0)
+    ours = ours.select("row", "key", "name")
     plain = skewed.join(lookup, "key", how).select("row", "key", "name")
     assert sorted(map(repr, rows(ours))) == sorted(map(repr, rows(plain)))
 
@@ -50,12 +51,27 @@ def test_lookup_join_takes_no_other_kind(skewed, lookup):
         lookup_join(skewed, lookup, "key", "full")
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_small_lookups_are_broadcast_whole(skewed, lookup, how):
+    ours = lookup_join(skewed, lookup, "key", how).select("row", "key", "name")
+    plain = skewed.join(lookup, "key", how).select("row", "key", "name")
+    assert sorted(map(repr, rows(ours))) == sorted(map(repr, rows(plain)))
+    assert plan(ours).count("BroadcastHashJoin") == 1
+
+
+def test_lookup_size_is_checked_in_rows_and_in_characters(spark):
+    df = spark.range(10).select("id", F.lit("x" * 100).alias("text"))
+    assert is_small(df) and is_small(df.limit(0))
+    assert not is_small(df, rows=9)
+    assert not is_small(df, chars=1000)
+
+
 def test_hot_rows_are_not_shuffled(spark, skewed, lookup):
     """With small automatic broadcasts off, only the cold rows meet an exchange."""
     previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(lookup_join(skewed, lookup, "key", parts=100))
+        text = plan(lookup_join(skewed, lookup, "key", parts=100, small_rows=0))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
     assert "SortMergeJoin" in text
@@ -175,6 +191,6 @@ def test_profile_and_samples(spark):
 
 def test_clean_counts_add_up(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, None), (None, 3), (2, 2)], "a int, b int")
-    counts = clean_counts(df, F.col("a").isNotNull(), ["a", "b"])
-    assert rows(counts) == [(5, 1, 1, 3)]
-    assert rows(clean_counts(df.limit(0), F.col("a").isNotNull(), ["a", "b"])) == [(0, 0, 0, 0)]
+    valid = F.col("a").isNotNull()
+    assert rows(clean_counts(df, valid, df.where(valid).distinct())) == [(5, 1, 1, 3)]
+    assert rows(clean_counts(df.limit(0), valid, df.limit(0))) == [(0, 0, 0, 0)]
