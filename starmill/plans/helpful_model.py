@@ -16,6 +16,8 @@ from starmill.operators.joins import lookup_join
 from starmill.operators.split import in_train
 from starmill.roles import REVIEW_ROLES, Roles
 from starmill.session import materialise
+from starmill.sources.readers import read_table
+from starmill.sources.writers import write_table
 
 LABEL = "is_helpful"
 TRAIN = "is_train"
@@ -185,17 +187,24 @@ def train_model(
     roles: Roles = REVIEW_ROLES,
     keys: Sequence[str] | None = None,
     fraction: float = TRAIN_FRACTION,
+    table_path: str | None = None,
 ) -> TrainedModel:
-    """Build the features once in the shared folder, then fit on the train part.
+    """Build the features once as a table, then fit on the train part.
 
     The solver passes over its rows some twenty times; reading them from a table means
     that a lost executor never causes the join behind them to run again. The table is
-    partitioned by the split, so each side reads its own files only.
+    partitioned by the split, so each side reads its own files only. It is written to
+    ``table_path``, or under a new name in the shared folder.
     """
     keys = list(keys or (roles.user, roles.item, roles.time))
     price_fill = median_price(products, roles).first()["median_price"]
     fill = F.lit(0.0 if price_fill is None else float(price_fill))
     features = with_split(feature_frame(reviews, products, roles, keys, fill), keys, fraction)
-    table = assemble(materialise(features, "helpful-features", (TRAIN,)))
+    if table_path is None:
+        stored = materialise(features, "helpful-features", (TRAIN,))
+    else:
+        write_table(features, table_path, (TRAIN,))
+        stored = read_table(features.sparkSession, table_path)
+    table = assemble(stored)
     train, test = table.where(F.col(TRAIN) == 1), table.where(F.col(TRAIN) == 0)
     return TrainedModel(fit(train), train, test, price_fill)

@@ -28,6 +28,7 @@ USERS = "05_user_frequency_behavior_reviews5"
 PRICES = "06_price_bucket_rating_reviews"
 BRANDS = "07_brand_review_rating_ranking"
 KEYWORDS = "08_high_low_rating_keywords"
+FEATURES = "helpful_features"
 METRICS = "09_helpful_prediction_metrics"
 COEFFICIENTS = "09_helpful_prediction_coefficients"
 
@@ -159,7 +160,9 @@ def run(
     }
     for name, df in chart_feeds(results).items():
         write_table(df.coalesce(1), layout.chart(name))
-    trained = helpful_model.train_model(tables[REVIEWS], tables[PRODUCTS])
+    trained = helpful_model.train_model(
+        tables[REVIEWS], tables[PRODUCTS], table_path=layout.clean(FEATURES)
+    )
     write_report(trained.metrics(), layout.report(METRICS))
     write_report(trained.coefficients(), layout.report(COEFFICIENTS))
     return layout

@@ -1,0 +1,152 @@
+"""Time the reports against their plain forms on the same rows.
+
+    python tools/compare_plans.py /root/testdata/sf0.1
+
+The plain forms join review rows first and aggregate after, keep the first row of a key
+that comes along, and rewrite texts before splitting them. They run with the row-at-a-time
+Parquet reader, as the published configuration does.
+"""
+
+from __future__ import annotations
+
+import statistics
+import sys
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from starmill.catalog import bindings  # noqa: E402
+from starmill.functions.text import (  # noqa: E402
+    STOP_WORDS,
+    join_texts,
+    normalize_text,
+    split_words,
+)
+from starmill.operators.dedup import dedup_by_key  # noqa: E402
+from starmill.plans import analyses  # noqa: E402
+from starmill.session import build_session  # noqa: E402
+
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def report(groups, *extra):
+    """The figures every plain form ends with."""
+    return groups.agg(
+        F.count("*").alias("review_count"),
+        F.round(F.avg("rating"), 3).alias("avg_rating"),
+        F.round(F.stddev_samp("rating"), 3).alias("rating_stddev"),
+        *extra,
+    )
+
+
+def plain_users(orders):
+    users = orders.groupBy("reviewerID").agg(F.count("*").alias("n"))
+    groups = orders.join(users, "reviewerID").groupBy((F.col("n") >= 10).alias("frequent"))
+    return report(
+        groups,
+        F.count_distinct("reviewerID").alias("users"),
+        F.avg("n").alias("avg_n"),
+        F.avg("helpful_votes").alias("votes"),
+        F.avg("review_length").alias("length"),
+        F.count_if(F.col("rating") >= 4).alias("positive"),
+    )
+
+
+def plain_prices(reviews, products):
+    rows = reviews.join(products, "asin").where("price >= 0 AND rating IS NOT NULL")
+    bucket = F.floor((F.col("price") - 900) / 20).alias("bucket")
+    return report(rows.groupBy(bucket), F.count_distinct("asin").alias("products"), F.avg("price"))
+
+
+def plain_brands(reviews, products):
+    groups = reviews.join(products, "asin").groupBy(F.trim("brand").alias("brand"))
+    ranked = report(groups, F.count_distinct("asin").alias("products"))
+    return ranked.where("review_count >= 20").orderBy(F.desc("review_count"), "brand").limit(30)
+
+
+def plain_keywords(reviews):
+    words = split_words(normalize_text(join_texts(F.col("summary"), F.col("reviewText"))))
+    good = (F.col("rating") >= 4).alias("good")
+    tokens = (
+        reviews.where("rating >= 4 OR rating <= 2")
+        .select(good, F.explode(words).alias("word"))
+        .where(
+            (F.length("word") >= 3)
+            & ~F.col("word").rlike("^[0-9]+$")
+            & ~F.col("word").isin(list(STOP_WORDS))
+        )
+    )
+    counts = tokens.groupBy("good", "word").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("good").agg(F.sum("n").alias("total"))
+    rank = F.row_number().over(Window.partitionBy("good").orderBy(F.desc("n")))
+    return (
+        counts.join(totals, "good")
+        .select("good", "word", "n", (F.col("n") * 10000 / F.col("total")), rank.alias("r"))
+        .where("r <= 40")
+    )
+
+
+def pairs(spark, sf_dir):
+    """Name, our form, plain form."""
+    lines = bindings.line_reviews(spark, sf_dir)
+    parts = bindings.part_products(spark, sf_dir)
+    orders = bindings.order_reviews(spark, sf_dir)
+    documents = bindings.document_reviews(spark, sf_dir)
+    raw = bindings.table(spark, sf_dir, "lineitem")
+    edges = {"edges": bindings.PART_PRICE_EDGES, "labels": bindings.PART_PRICE_LABELS}
+    return [
+        ("dedup_by_key", lambda: dedup_by_key(raw, LINE_KEY), lambda: raw.dropDuplicates(LINE_KEY)),
+        ("user_frequency", lambda: analyses.user_frequency(orders), lambda: plain_users(orders)),
+        (
+            "price_buckets",
+            lambda: analyses.price_buckets(lines, parts, **edges),
+            lambda: plain_prices(lines, parts),
+        ),
+        (
+            "brand_ranking",
+            lambda: analyses.brand_ranking(lines, parts),
+            lambda: plain_brands(lines, parts),
+        ),
+        (
+            "keyword_ranking",
+            lambda: analyses.keyword_ranking(documents),
+            lambda: plain_keywords(documents),
+        ),
+    ]
+
+
+def seconds(build, runs=3):
+    times = []
+    for _ in range(runs + 1):
+        started = time.perf_counter()
+        build().write.format("noop").mode("overwrite").save()
+        times.append(time.perf_counter() - started)
+    return statistics.median(times[1:])
+
+
+def main(sf_dir):
+    spark = build_session(
+        "compare",
+        **{
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "12g",
+            "spark.sql.shuffle.partitions": "24",
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    print(f"{'query':18}{'ours':>8}{'plain':>8}  ratio")
+    for name, ours, plain in pairs(spark, sf_dir):
+        fast = seconds(ours)
+        spark.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
+        slow = seconds(plain)
+        spark.conf.set("spark.sql.parquet.enableVectorizedReader", "true")
+        print(f"{name:18}{fast:8.2f}{slow:8.2f}  {slow / fast:.1f}", flush=True)
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])
