@@ -60,8 +60,12 @@ def word_array(text: Column, word_chars: str = ASCII_WORD, min_chars: int = 1) -
 
 
 def is_keyword(word: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
-    """Not a number, and not one of a fixed list of stop words."""
-    return ~word.rlike("^[0-9]+$") & ~word.isin(list(stop_words))
+    """Not a number, and not one of a fixed list of stop words.
+
+    Digits sort ahead of "a", which spares most words the regular expression.
+    """
+    number = (word < "a") & word.rlike("^[0-9]+$")
+    return ~word.isin(list(stop_words)) & ~number
 
 
 def title_label(code: Column) -> Column:
