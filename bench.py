@@ -41,6 +41,15 @@ def seconds(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - started
 
 
+def scale_of(sf_dir: str) -> float | str:
+    """The scale factor in a folder name such as sf0.1."""
+    name = Path(sf_dir).name
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -66,7 +75,7 @@ def main(names: list[str]) -> None:
                 "value": round(sum(timings.values()), 4),
                 "unit": "sec",
                 "queries": timings,
-                "sf": Path(sf_dir).name.removeprefix("sf"),
+                "sf": scale_of(sf_dir),
             }
         )
     )

@@ -106,7 +106,7 @@ def test_cleaning_shuffles_once_after_trimming(raw_reviews_of):
 
 def test_clean_products(spark):
     data = [
-        ("a", "T", "by\n  Sony", "$1,299.99", ["x"], None, None),
+        ("a", "T", "by\n  Zenith", "$1,299.99", ["x"], None, None),
         ("b", "T", None, "12.5", None, None, None),
         ("b", "S", "Baby Toys", "$5 - $9", None, ["y"], None),
         (None, "T", "B", "$1", None, None, None),
@@ -117,9 +117,9 @@ def test_clean_products(spark):
         "asin", "title", "price_raw", "also_buy", "also_view", "brand", "price"
     ]
     assert sorted(rows(clean)) == [
-        ("a", "T", "$1,299.99", ["x"], None, "Sony", 1299.99),
+        ("a", "T", "$1,299.99", ["x"], None, "Zenith", 1299.99),
         ("b", "S", "$5 - $9", None, ["y"], "Baby Toys", 5.0),
     ]
     legacy = cleaning.clean_products(raw, legacy=True).orderBy("asin")
-    assert rows(legacy.select("brand", "price")) == [("Sony", 1.0), ("BaToys", 5.0)]
+    assert rows(legacy.select("brand", "price")) == [("Zenith", 1.0), ("BaToys", 5.0)]
     assert rows(cleaning.product_counts(raw, clean)) == [(4, 1, 1, 2)]

@@ -79,6 +79,14 @@ def test_hot_rows_are_not_shuffled(spark, skewed, lookup):
     assert text.count("BroadcastHashJoin") >= 2
 
 
+def test_without_hot_keys_the_facts_are_scanned_once(spark, lookup, tmp_path):
+    spark.range(50).select(F.col("id").alias("key")).write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    joined = lookup_join(facts, lookup, "key", parts=1, small_rows=0)
+    assert plan(joined).count("FileScan parquet") == 1
+    assert joined.count() == 25
+
+
 @pytest.mark.parametrize("parts", [1, 100, 100_000])
 def test_group_size(skewed, parts):
     sized = with_group_size(skewed, "key", "n", parts)
