@@ -51,7 +51,9 @@ def trained(spark):
     }
     reviews = spark.range(2000).select(*[c.alias(name) for name, c in built.items()])
     assert reviews.columns == [c.split()[0] for c in CLEAN_REVIEWS.split(", ")]
-    products = spark.createDataFrame([("i0", 5.0, ""), ("i1", None, "")], "asin string, price double, brand string")
+    products = spark.createDataFrame(
+        [("i0", 5.0, ""), ("i1", None, "")], "asin string, price double, brand string"
+    )
     return helpful_model.train_model(reviews, products)
 
 
