@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import cross_polytope, packing, vector_topk
-from starmill.llm.common import id_remainder, ship_package  # noqa: F401
+from starmill.llm import cross_polytope, language_id, packing, vector_topk
+from starmill.llm.common import id_remainder, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,3 +75,12 @@ def op10_vector_file(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").where(vector_topk.usable(F.col("embedding")))
     vectors = rows.select("vec_id", vector_topk.scaled(F.col("embedding"), 64).alias("vector"))
     return vector_topk.top_k_products(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0))
+
+
+@query("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    trees = language_id.learn(docs.where(~held_out))
+    found = language_id.predict_languages(docs, trees)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
