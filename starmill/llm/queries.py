@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import cross_polytope, language_id, packing, vector_topk
+from starmill.llm import (
+    cross_polytope,
+    language_id,
+    line_dedup,
+    packing,
+    toxicity,
+    vector_topk,
+)
 from starmill.llm.common import id_remainder, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,13 +60,13 @@ def op7_cross_polytope(spark, sf_dir):
 
 VECTOR_TOP_K = """
     WITH whole AS (
-        SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND len(embedding) > 0
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scores AS (
         SELECT q.vec_id AS query_id, c.vec_id,
-               CAST(list_sum(list_transform(list_zip(q.v, c.v), x -> x[1] * x[2])) AS BIGINT) AS score
+               CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2])) AS BIGINT) AS score
         FROM whole q JOIN whole c
           ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
     )
@@ -84,3 +91,34 @@ def op9_language_id(spark, sf_dir):
     trees = language_id.learn(docs.where(~held_out))
     found = language_id.predict_languages(docs, trees)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_severity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+LINE_DEDUP = r"""
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(len(string_split(text, chr(10))))) AS unit
+        FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+    ), units AS (
+        SELECT doc_id, CAST(unit AS INTEGER) AS unit, length(line) AS size,
+               CAST(SUM(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) AS INTEGER) AS after,
+               regexp_extract_all(lower(line), '[\p{L}\p{N}_]+') AS words
+        FROM lines
+    ), ranked AS (
+        SELECT *, min(struct_pack(d := doc_id, u := unit)) OVER (PARTITION BY array_to_string(words, ' ')) AS first
+        FROM units WHERE len(words) >= 5
+    )
+    SELECT doc_id, unit, CAST(after - size - 1 AS INTEGER) AS start, CAST(after - 1 AS INTEGER) AS "end",
+           first.d AS first_doc_id, first.u AS first_unit
+    FROM ranked WHERE doc_id <> first.d OR unit <> first.u
+"""
+
+
+@query("op4_line_dedup", LINE_DEDUP)
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup.repeated_units(table(spark, sf_dir, "documents"))
