@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,38 +35,90 @@ _ARROW = pa.schema(
     ]
 )
 #: Distinct words whose ids a task remembers; beyond, it forgets them and starts anew.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 #: Sequence ids leave room for this many sequences of one task.
 PER_TASK = 2**40
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for every byte in byte-level vocabularies:
+    itself where it is printable Latin-1, else the next one from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordCache:
     """Token ids of texts, encoding every distinct word between ASCII white space once.
 
     Right for tokenizers that drop white space and never join across it, as the one of
     the query does (its pre-tokenizer splits there and its special tokens hold none).
+    Words of plain Latin letters are cut by the tokenizer's own pattern, which this
+    class reads from it, and go straight to its model; any other word, and any tokenizer
+    built otherwise, takes the whole chain.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode_batch
+        self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._cut = self._direct_pattern()
+        self._letters = _byte_letters()
         self._limit = limit
         self._clear()
 
+    def _direct_pattern(self):
+        """The pre-tokenizer's pattern if the chain is lower-casing, cutting and bytes."""
+        made = json.loads(self._tokenizer.to_str())
+        steps = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        cutting = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cutting] != [
+            "Split",
+            "ByteLevel",
+        ]:
+            return None
+        return regex.compile(cutting[0]["pattern"]["Regex"]).findall
+
     def _clear(self) -> None:
         self._index: dict[bytes, int] = {}
+        self._parts: dict[str, list[int]] = {}
         self._starts = np.zeros(1, np.int64)
         self._flat = np.zeros(0, np.uint32)
 
+    def _word(self, word: bytes) -> list[int]:
+        """Ids of one word."""
+        if self._cut and word.isalpha():
+            return self._part(word.lower().decode())
+        text = word.decode("utf-8", "replace")
+        if not self._cut or not self._plain(text):
+            return self._tokenizer.encode(text, add_special_tokens=False).ids
+        parts = self._cut(text.lower())
+        return [i for part in parts for i in self._part(part)]
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        """Latin text whose lower case is the same in every library, not special."""
+        if "<|" in text:
+            return False
+        return text.isascii() or (
+            max(text) < "\u0250" and "\u0130" not in text and is_normalized("NFC", text)
+        )
+
+    def _part(self, part: str) -> list[int]:
+        ids = self._parts.get(part)
+        if ids is None:
+            letters = part.encode().decode("latin-1").translate(self._letters)
+            ids = self._parts[part] = [t.id for t in self._model.tokenize(letters)]
+        return ids
+
     def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        ids = [e.ids for e in self._encode(texts, add_special_tokens=False)]
+        ids = [self._word(w) for w in words]
         self._index.update(zip(words, range(len(self._index), len(self._index) + len(words))))
         ends = np.cumsum([len(x) for x in ids], dtype=np.int64) + self._starts[-1]
         self._starts = np.concatenate([self._starts, ends])
-        new = np.fromiter((i for x in ids for i in x), np.uint32)
+        new = np.fromiter(chain.from_iterable(ids), np.uint32)
         self._flat = np.concatenate([self._flat, new])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -72,7 +129,7 @@ class WordCache:
             self._clear()
             new = set().union(*split)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         return [self._ids(words) for words in split]
 
     def _ids(self, words: list[bytes]) -> np.ndarray:
@@ -84,6 +141,12 @@ class WordCache:
         return self._flat[at]
 
 
+@cache
+def word_cache(path: str) -> WordCache:
+    """One cache for all tasks of a worker process."""
+    return WordCache(path)
+
+
 class Piece:
     """A run of one document's ids."""
 
@@ -207,13 +270,13 @@ def pack_documents(
 
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(capacity, TaskContext.get().partitionId() * PER_TASK)
-        words = WordCache(tokenizer_path)
+        words = word_cache(tokenizer_path)
         end = np.array([end_id], np.uint32)
 
         def placed() -> Iterator[tuple]:
             for batch in rows:
-                for at in range(0, len(batch), 256):
-                    part = batch.slice(at, 256)
+                for at in range(0, len(batch), 1024):
+                    part = batch.slice(at, 1024)
                     ids = part.column("doc_id").to_pylist()
                     texts = part.column("text").to_pylist()
                     for doc_id, tokens in zip(ids, words.encode(texts), strict=True):
