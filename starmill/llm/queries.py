@@ -12,7 +12,9 @@ from starmill.llm import (
     cross_polytope,
     language_id,
     line_dedup,
+    lm_scoring,
     packing,
+    pieces,
     toxicity,
     vector_topk,
 )
@@ -24,6 +26,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 QUERY_STEP = 20
 
 
@@ -122,3 +125,21 @@ LINE_DEDUP = r"""
 @query("op4_line_dedup", LINE_DEDUP)
 def op4_line_dedup(spark, sf_dir):
     return line_dedup.repeated_units(table(spark, sf_dir, "documents"))
+
+
+@query("op1_lattice_likelihood")
+def op1_lattice_likelihood(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 1, F.lit(False))
+    vocabulary = pieces.read_vocabulary(public_tokenizers.path(PIECES))
+    model, words = lm_scoring.train(docs.where(~held_out), vocabulary)
+    scored = lm_scoring.score_documents(docs, model, words, vocabulary)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
