@@ -20,7 +20,7 @@ MAX_MODELS = 12
 HEAD_WORDS = 250_000
 #: The most frequent words that start the fit of the scores, and its steps over them.
 #: One more step over all words of all documents follows.
-FIRST_WORDS, FIRST_STEPS = 30_000, 3
+FIRST_WORDS, FIRST_STEPS = 30_000, 8
 #: Distinct words that a counting task holds before it hands them on.
 COUNTED_AT_ONCE = 400_000
 #: Stands for the end of a document; no word is empty.
