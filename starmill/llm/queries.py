@@ -13,6 +13,7 @@ from starmill.llm import (
     language_id,
     line_dedup,
     lm_scoring,
+    near_dedup,
     packing,
     pieces,
     toxicity,
@@ -143,3 +144,8 @@ def op1_lattice_likelihood(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+@query("op5_setsketch_near_duplicates")
+def op5_setsketch_near_duplicates(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
