@@ -16,6 +16,7 @@ from starmill.llm import (
     near_dedup,
     packing,
     pieces,
+    suffix_dedup,
     toxicity,
     vector_topk,
 )
@@ -149,3 +150,15 @@ def op1_lattice_likelihood(spark, sf_dir):
 @query("op5_setsketch_near_duplicates")
 def op5_setsketch_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
