@@ -4,17 +4,72 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmill.llm import packing
+from starmill.llm import language_id, near_dedup, packing, suffix_dedup, toxicity
 from starmill.llm.common import ship_package, stored
 
+#: A text whose best model still needs more bits for a byte is in none of the languages.
+MAX_BITS_PER_BYTE = 7.0
+#: Word shingles and similarity of near duplicates.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model, fitted on the labelled ones, finds not toxic."""
+    ship_package(spark)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    others = [c for c in docs.columns if c != "doc_id"]
+    return toxicity.score_severity(docs, model, others).where(~F.col("toxic")).select(*docs.columns)
+
+
+def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters that read like one of the learned languages."""
+    ship_package(spark)
+    others = [c for c in docs.columns if c != "doc_id"]
+    known = language_id.predict_languages(docs, language_id.learn(docs), others)
+    readable = F.col("bits_per_byte") <= MAX_BITS_PER_BYTE
+    return known.where((F.col("lang_pred") != language_id.UNDETERMINED) & readable).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near duplicates."""
+    ship_package(spark)
+    found = near_dedup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that start in an earlier one; ``n_chars`` follows.
+
+    A character that is cut in two goes as a whole. A document may end up empty; it
+    stays, since nothing of it was wrong. A null text stays null.
+    """
+    ship_package(spark)
+    kept = suffix_dedup.remove_repeated_passages(docs).select("row_id", "kept")
+    rows = docs.withColumn("row_id", F.monotonically_increasing_id())
+    rows = rows.withColumn("had_text", F.col("text").isNotNull()).drop("text")
+    whole = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
+    joined = rows.join(kept, "row_id").withColumn("text", F.when(F.col("had_text"), whole))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return joined.select(*docs.columns)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of all remaining documents."""
+    ship_package(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language ID", drop_unknown_languages),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", cut_repeated_passages),
+    ("packing", pack),
+]
 
 #: Learned models and tokenizers have no SQL form.
 ORACLE_SQL = None
@@ -22,8 +77,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written to the shared folder and read again."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

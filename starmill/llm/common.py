@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from starmill.session import shared_dir
 
@@ -69,6 +70,29 @@ def mix64(values: np.ndarray, seed: int = 0) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
+class Carried:
+    """Columns that pass through a Python stage unseen, whatever their names."""
+
+    def __init__(self, df: DataFrame, names: list[str]):
+        self.names = list(names)
+        self._fields = [
+            StructField(f"carried_{i}", df.schema[c].dataType) for i, c in enumerate(names)
+        ]
+
+    @property
+    def columns(self) -> list[Column]:
+        return [F.col(f"`{c}`").alias(f.name) for c, f in zip(self.names, self._fields)]
+
+    def schema(self, own: str) -> StructType:
+        return StructType([*StructType.fromDDL(own).fields, *self._fields])
+
+    def of(self, batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        return {f.name: batch.column(f.name) for f in self._fields}
+
+    def renamed(self, df: DataFrame, own: list[str]) -> DataFrame:
+        return df.toDF(*own, *self.names)
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = OUT_ROWS) -> Iterator[pa.RecordBatch]:
     """Record batches of at most ``size`` rows made of tuples in the order of ``schema``."""
     kept: list[tuple] = []

@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.llm.common import Carried
+from starmill.llm.shingles import text_bytes
+
 UNDETERMINED = "und"
 #: Longest context in bytes.
 MAX_ORDER = 3
@@ -157,15 +160,6 @@ class ContextTrees:
             total[text[start]] += np.add.reduceat(bits, start, axis=0)
 
 
-def _text_bytes(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a binary column end to end, and where each value starts."""
-    column = batch.column(name)
-    _, offsets, values = column.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
-    return data, offsets.astype(np.int64)
-
-
 def _lower_bytes():
     return F.coalesce(F.lower("text"), F.lit("")).cast("binary").alias("data")
 
@@ -194,7 +188,7 @@ def learn(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = _text_bytes(batch, "data")
+            data, starts = text_bytes(batch, "data")
             found: dict[tuple, list] = {}
             for lang, a, b in zip(batch.column("lang").to_pylist(), starts[:-1], starts[1:]):
                 for context in range(MAX_ORDER + 1):
@@ -235,18 +229,15 @@ def predict_languages(docs: DataFrame, trees: ContextTrees | None, keep: list[st
     session = docs.sparkSession
     sent = session.sparkContext.broadcast(trees)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
-    kept = [F.col(c).alias(f"kept_{c}") for c in keep]
-    rows = docs.select(F.col("doc_id").cast("long"), letters, _lower_bytes(), *kept)
-    schema = ", ".join(
-        [PREDICTED, *(f"kept_{c} {docs.schema[c].dataType.simpleString()}" for c in keep)]
-    )
+    carried = Carried(docs, keep)
+    rows = docs.select(F.col("doc_id").cast("long"), letters, _lower_bytes(), *carried.columns)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = sent.value
         if trees is not None:
             trees.prepare()
         for batch in batches:
-            data, starts = _text_bytes(batch, "data")
+            data, starts = text_bytes(batch, "data")
             size = np.diff(starts)
             known = np.array(batch.column("has_letter").to_pylist(), bool)
             if trees is None:
@@ -266,8 +257,7 @@ def predict_languages(docs: DataFrame, trees: ContextTrees | None, keep: list[st
                 "score": np.where(known, score, 0.0),
                 "bits_per_byte": pa.array(rate, mask=~known),
             }
-            columns |= {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(columns | carried.of(batch))
 
-    found = rows.mapInArrow(predict, schema)
-    return found.withColumnsRenamed({f"kept_{c}": c for c in keep if c != "doc_id"})
+    found = rows.mapInArrow(predict, carried.schema(PREDICTED))
+    return carried.renamed(found, ["doc_id", "lang_pred", "score", "bits_per_byte"])

@@ -13,9 +13,11 @@ from starmill.llm.common import mix64, stored, utf8
 from starmill.llm.components import components
 from starmill.llm.shingles import set_digest, shingle_sets, similar, text_bytes
 
-#: Registers of a sketch, a prime, so that every stride visits all of them; the bands
-#: use the first BANDS * BAND_ROWS.
-REGISTERS, BANDS, BAND_ROWS = 101, 20, 5
+#: Registers of a sketch, a prime, so that every stride visits all of them; bands use
+#: the first 100.
+REGISTERS = 101
+#: Chance that a pair at the threshold shares no band.
+MISSED = 1e-5
 #: Base of the exponential spacing of register values.
 SPACING = 1.005
 #: Pairs whose estimated similarity lies this far below the threshold, some six standard
@@ -59,12 +61,21 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(level, 0, 65_535).astype(np.uint16)
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
+def band_shape(percent: int) -> tuple[int, int]:
+    """Bands and their registers: the longest bands that miss few enough pairs."""
+    used = REGISTERS - 1
+    fit = [r for r in range(1, used + 1) if (1 - (percent / 100) ** r) ** (used // r) <= MISSED]
+    rows = max(fit, default=1)
+    return used // rows, rows
+
+
+def band_keys(registers: np.ndarray, percent: int) -> np.ndarray:
     """A key per band and row, equal for equal registers of the band."""
-    rows = registers[:, : BANDS * BAND_ROWS].reshape(len(registers), BANDS, BAND_ROWS)
-    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), rows.shape[:2])
+    bands, size = band_shape(percent)
+    rows = registers[:, : bands * size].reshape(len(registers), bands, size)
+    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), rows.shape[:2])
     with np.errstate(over="ignore"):
-        for i in range(BAND_ROWS):
+        for i in range(size):
             keys = mix64(keys * np.uint64(65_537) + rows[:, :, i].astype(np.uint64), 31)
     return keys.astype(np.int64)
 
@@ -129,14 +140,14 @@ def _registers(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
-def _banded(classes: DataFrame) -> DataFrame:
+def _banded(classes: DataFrame, percent: int) -> DataFrame:
     """(band, id): a row per band of every class."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = band_keys(_registers(batch, "registers"))
-            ids = batch.column("id").to_numpy()
-            yield pa.RecordBatch.from_pydict({"band": keys.ravel(), "id": np.repeat(ids, BANDS)})
+            keys = band_keys(_registers(batch, "registers"), percent)
+            ids = np.repeat(batch.column("id").to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_pydict({"band": keys.ravel(), "id": ids})
 
     return classes.select("id", "registers").mapInArrow(split, "band long, id long")
 
@@ -196,7 +207,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
 
     1. Rows of equal sets are one class, known by its smallest doc_id.
     2. Classes that agree in a band of their SetSketch registers are candidates. Two
-       sets at 85 % agree in none of 20 bands of 5 with a chance of 1 in 100,000.
+       sets at the threshold share no band with a chance of 1 in 100,000 at most.
     3. In every band value all classes meet the hub only, the one that shares most bands
        with others; pairs that the registers' likelihood leaves possible are verified on
        the full sets. A group of n copies costs n pairs this way.
@@ -221,7 +232,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
         ),
         "shingle-classes",
     )
-    shared, hubs = _bands(classes)
+    shared, hubs = _bands(classes, percent)
     texts = _texts(docs, shared)
     links = stored(
         _verified(_likely(hubs, classes, percent), texts, words, percent), "verified-links"
@@ -245,9 +256,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     )
 
 
-def _bands(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _bands(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(band, id) of band values that several classes share, and (a, hub) pairs."""
-    rows = stored(_banded(classes), "bands")
+    rows = stored(_banded(classes, percent), "bands")
     sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     shared = rows.join(stored(sizes, "band-sizes"), "band")
     shared = stored(shared, "shared-bands")

@@ -393,13 +393,13 @@ def _merged_windows(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     return _frame(_gone_rows(gone))
 
 
-KEPT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
+KEPT = "row_id long, doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
 
 
 def _kept(key: tuple, packed: pd.DataFrame, removed: pd.DataFrame) -> pd.DataFrame:
     """The documents of a group without their removed spans."""
     if packed.empty:
-        return pd.DataFrame(columns=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+        return pd.DataFrame(columns=["row_id", "doc_id", "n_bytes", "n_removed", "spans", "kept"])
     texts = _Texts(list(packed["blob"]))
     parts = [np.frombuffer(b, "<i8").reshape(-1, 3) for b in removed["blob"]]
     all_spans = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
@@ -416,13 +416,13 @@ def _kept(key: tuple, packed: pd.DataFrame, removed: pd.DataFrame) -> pd.DataFra
             keep[a:b] = False
         doc_id = None if texts.nulls[i] else int(texts.ids[i])
         pairs = [{"start": int(a), "end": int(b)} for a, b in spans]
-        out.append((doc_id, len(data), int((~keep).sum()), pairs, data[keep].tobytes()))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+        out.append((int(texts.row_ids[i]), doc_id, len(data), int((~keep).sum()), pairs, data[keep].tobytes()))
+    frame = pd.DataFrame(out, columns=["row_id", "doc_id", "n_bytes", "n_removed", "spans", "kept"])
     return frame.astype({"doc_id": "Int64"})
 
 
 def remove_repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans and kept bytes of every row of ``docs``.
+    """row_id, doc_id, n_bytes, n_removed, spans and kept bytes of every row of ``docs``.
 
     A byte is removed if a string of 50 bytes over it also starts in a document with a
     smaller doc_id, whatever is removed there. ``spans`` are the maximal removed runs.
@@ -439,7 +439,8 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     Null and empty texts have no bytes; texts under 50 bytes keep all; rows that share
     a doc_id are not earlier than one another; a null doc_id counts as later than any
     other. Empty tables give no rows. ``docs`` must be a table that is read the same way
-    again, as rows are told apart by their place. Other columns are ignored.
+    again, as rows are told apart by their place, the monotonically increasing id that
+    is returned as ``row_id``. Other columns are ignored.
     """
     n_docs = docs.count()
     groups = max(16, -(-n_docs // GROUP_DOCS))

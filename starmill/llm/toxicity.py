@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.llm.common import Carried
+
 
 #: Labelled documents per value of the label that the model is fitted on.
 TRAIN_DOCS = 6000
@@ -206,7 +208,8 @@ SCORED = "doc_id long, severity double, grade int, toxic_probability double, tox
 
 
 def score_severity(docs: DataFrame, model: SeverityModel | None, keep: list[str] = ()) -> DataFrame:
-    """doc_id, severity, grade, toxic_probability and toxic of every row, with ``keep``.
+    """doc_id, severity, grade, toxic_probability and toxic of every row, with the
+    columns ``keep`` of ``docs``.
 
     ``severity`` is the expected grade from 0 to 2, ``grade`` the likeliest one and
     ``toxic`` whether a grade above 0 is at least as likely as grade 0. Presence of a
@@ -214,11 +217,8 @@ def score_severity(docs: DataFrame, model: SeverityModel | None, keep: list[str]
     text and any text without a model have severity 0; repeated rows are scored each.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [F.col(c).alias(f"kept_{c}") for c in keep]
-    rows = docs.select(F.col("doc_id").cast("long"), _lower_utf8(), *kept)
-    schema = ", ".join(
-        [SCORED, *(f"kept_{c} {docs.schema[c].dataType.simpleString()}" for c in keep)]
-    )
+    carried = Carried(docs, keep)
+    rows = docs.select(F.col("doc_id").cast("long"), _lower_utf8(), *carried.columns)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -248,8 +248,8 @@ def score_severity(docs: DataFrame, model: SeverityModel | None, keep: list[str]
                 "toxic_probability": above[:, 0],
                 "toxic": above[:, 0] >= 0.5,
             }
-            columns |= {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(columns | carried.of(batch))
 
-    scored = rows.mapInArrow(score, schema)
-    return scored.withColumnsRenamed({f"kept_{c}": c for c in keep if c != "doc_id"})
+    scored = rows.mapInArrow(score, carried.schema(SCORED))
+    own = ["doc_id", "severity", "grade", "toxic_probability", "toxic"]
+    return carried.renamed(scored, own)
