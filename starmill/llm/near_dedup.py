@@ -211,10 +211,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     3. In every band value all classes meet the hub only, the one that shares most bands
        with others; pairs that the registers' likelihood leaves possible are verified on
        the full sets. A group of n copies costs n pairs this way.
-    4. Band values that still hold several components are searched exactly: a class can
-       only be linked with another if enough of its shingles occur in a second class at
-       all, which bounds the sizes of its possible partners. Pairs of different
-       components within these bounds are verified, whatever their number.
+    4. Band values that still hold several families, classes around a hub, are searched
+       exactly. What two classes share is, at most, what both share with the hub of the
+       band value and the shingles beyond the hub that they have in common. So either
+       their sizes allow a link on the former alone, which is looked up by size, or they
+       meet in shingles beyond the hub, often enough. All such pairs are verified.
 
     A null text or one without words has n_shingles 0 and is linked with nothing, a
     shorter text is one shingle. Rows that share a doc_id are one document with the
@@ -232,16 +233,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
         ),
         "shingle-classes",
     )
-    shared, hubs = _bands(classes, percent)
+    shared = _bands(classes, percent)
+    hubs = shared.select(F.col("id").alias("a"), F.col("hub").alias("b")).where("a != b").distinct()
     texts = _texts(docs, shared)
     links = stored(
         _verified(_likely(hubs, classes, percent), texts, words, percent), "verified-links"
     )
-    found = components(links)
-    rest = _rest(shared, stored(found, "components"), classes, texts, words, percent)
+    rest = _rest(shared, _families(links), texts, words, percent)
     more = _verified(_likely(rest, classes, percent), texts, words, percent)
-    # What joins the components found so far, and the classes without one.
-    joined = links.union(stored(more, "verified-links"))
+    joined = links.union(more)
     # Rows of one class, and those of one doc_id, belong together.
     members = classes.select("id", *digest).join(real.select("doc_id", *digest), digest)
     joined = joined.union(members.select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
@@ -256,18 +256,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     )
 
 
-def _bands(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(band, id) of band values that several classes share, and (a, hub) pairs."""
+def _bands(classes: DataFrame, percent: int) -> DataFrame:
+    """(band, id, hub) of the band values that several classes share. The hub is the
+    class whose band values are shared most; ties take the smaller id."""
     rows = stored(_banded(classes, percent), "bands")
     sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    shared = rows.join(stored(sizes, "band-sizes"), "band")
-    shared = stored(shared, "shared-bands")
+    shared = stored(rows.join(stored(sizes, "band-sizes"), "band"), "shared-bands")
     weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
     weighted = stored(shared.select("band", "id").join(weight, "id"), "weighted-bands")
     best = F.max(F.struct("weight", (-F.col("id")).alias("id")))
-    hub = stored(weighted.groupBy("band").agg(best.alias("best")), "band-hubs")
-    pairs = weighted.join(hub, "band").select(F.col("id").alias("a"), (-F.col("best.id")).alias("b"))
-    return shared.select("band", "id"), pairs.where(F.col("a") != F.col("b")).distinct()
+    hub = weighted.groupBy("band").agg((-best.getField("id")).alias("hub"))
+    joined = weighted.select("band", "id").join(stored(hub, "band-hubs"), "band")
+    return stored(joined, "hubs")
 
 
 def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -276,68 +276,116 @@ def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
     return stored(rows.join(shared.select("id").distinct(), "id", "left_semi"), "candidate-texts")
 
 
-def _rest(
-    shared: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int
-) -> DataFrame:
-    """Pairs of different components that share a band value and may be similar."""
-    labelled = shared.join(found, "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("component")
+def _families(links: DataFrame) -> DataFrame:
+    """(id, family): the most linked hub of a class, or that hub's own. Classes of one
+    family are connected, though connected classes may have several families."""
+    liked = links.groupBy("b").agg(F.count("*").alias("n"))
+    best = F.max(F.struct("n", "b")).getField("b")
+    hub = links.join(liked, "b").groupBy(F.col("a").alias("id")).agg(best.alias("hub"))
+    above = hub.select(F.col("id").alias("hub"), F.col("hub").alias("above"))
+    return hub.join(above, "hub", "left").select("id", F.coalesce("above", "hub").alias("family"))
+
+
+_BEYOND = "hub long, id long, family long, main long, best long, n long, kept long, beyond array<long>"
+
+
+def _beyond_hub(contexts: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Per class and hub: the size of the class, what it shares with the hub, and the
+    hashes of its other shingles."""
+    for side, name in (("id", "t_a"), ("hub", "t_b")):
+        contexts = contexts.join(texts.select(F.col("id").alias(side), F.col("text").alias(name)), side)
+    through = ["hub", "id", "family", "main", "best"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None
+        for whole in batches:
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                sets = shingle_sets(*text_bytes(batch, "t_a"), words)
+                beyond = []
+                for ours, scalar in zip(sets, batch.column("t_b"), strict=True):
+                    text = scalar.as_py()
+                    if text != last:
+                        data = np.frombuffer(text, np.uint8)
+                        last, held = text, shingle_sets(data, np.array([0, len(data)]), words)[0]
+                    beyond.append(np.setdiff1d(ours, held, assume_unique=True).astype(np.int64))
+                n = np.array([len(s) for s in sets], np.int64)
+                kept = n - np.array([len(x) for x in beyond], np.int64)
+                columns = {c: batch.column(c) for c in through}
+                columns |= {"n": n, "kept": kept, "beyond": pa.array(beyond, pa.list_(pa.int64()))}
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return contexts.select(*through, "t_a", "t_b").mapInArrow(compare, _BEYOND)
+
+
+def _rest(shared: DataFrame, families: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of different families under one hub that may be similar."""
+    labelled = shared.join(families, "id", "left").select(
+        "band", "id", "hub", F.coalesce("family", "id").alias("family")
     )
     labelled = stored(labelled, "labelled-bands")
-    # The component with most classes in a band value; its own pairs need no search.
-    counts = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("band").agg(
-        F.max(F.struct("n", "component")).getField("component").alias("main"),
-        F.count("*").alias("parts"),
+    ends = labelled.groupBy("band").agg(F.min("family").alias("low"), F.max("family").alias("high"))
+    open_bands = stored(ends.where(F.col("low") < F.col("high")).select("band"), "open-bands")
+    contexts = (
+        labelled.join(open_bands, "band")
+        .groupBy("hub", "id")
+        .agg(F.first("family").alias("family"), F.count("*").alias("bands"))
     )
-    open_ = labelled.join(stored(main.where(F.col("parts") > 1), "open-bands"), "band")
-    open_ = stored(open_.select("band", "id", "component", "main"), "open-classes")
-    matchable = _matchable(open_.select("id").distinct(), texts, words)
-    sized = stored(
-        open_.join(matchable, "id").join(classes.select("id", "n"), "id"), "sized-classes"
+    contexts = stored(contexts, "contexts")
+    # The family with most classes under a hub; its own pairs need no search.
+    counts = contexts.groupBy("hub", "family").agg(F.count("*").alias("n"))
+    main = counts.groupBy("hub").agg(
+        F.max(F.struct("n", "family")).getField("family").alias("main")
     )
+    # Two classes with one other hub that is best for both are compared under that one.
+    best = F.max(F.struct("bands", (-F.col("hub")).alias("hub"))).getField("hub")
+    best = contexts.groupBy("id").agg((-best).alias("best"))
+    contexts = contexts.join(stored(main, "main-families"), "hub").join(best, "id")
+    rows = stored(_beyond_hub(contexts, texts, words), "beyond-hubs")
     t = percent / 100
-    # overlap >= t / (1 + t) * (n + partner's n), and the overlap is at most matchable.
-    most = F.floor(F.col("matchable") * ((1 + t) / t) - F.col("n") + 1e-6)
-    bounds = sized.select(
-        "*",
-        F.ceil(F.col("n") * t - 1e-6).alias("low"),
-        F.least(F.floor(F.col("n") / t + 1e-6), most).alias("high"),
-    ).where(F.col("low") <= F.col("high"))
+    facts = ("id", "family", "best", "n", "kept")
+    asking = rows.where(F.col("family") != F.col("main"))
+    asked = [F.col(c).alias(f"x_{c}") for c in facts]
+    small, large = F.least("n", "x_n"), F.greatest("n", "x_n")
+    distinct = (
+        (F.col("x_family") != F.col("family"))
+        & (F.lit(percent) * large <= 100 * small)
+        & ((F.col("x_best") != F.col("best")) | (F.col("best") == F.col("hub")))
+    )
+    # Shared shingles that a link needs, less those that the hub can account for.
+    needed = F.ceil((F.col("n") + F.col("x_n")) * (t / (1 + t)) - 1e-6)
+    missing = needed - F.least("kept", "x_kept")
 
     def size_class(n):
         return F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP)))
 
-    held = bounds.select("band", "id", "component", "n", "low", "high", size_class(F.col("n")).alias("size_class"))
-    asking = bounds.where(F.col("component") != F.col("main")).select(
-        "band",
-        *[F.col(c).alias(f"x_{c}") for c in ("id", "component", "n", "low", "high")],
-        F.explode(F.sequence(size_class(F.col("low")), size_class(F.col("high")))).alias("size_class"),
+    most = F.least(F.floor(F.col("n") / t + 1e-6), F.floor(F.col("kept") * ((1 + t) / t) - F.col("n") + 1e-6))
+    least = F.ceil(F.col("n") * t - 1e-6)
+    sizes = F.sequence(size_class(least), size_class(most))
+    by_size = (
+        asking.where(least <= most)
+        .select("hub", *asked, F.explode(sizes).alias("size_class"))
+        .join(
+            rows.select("hub", *facts, size_class(F.col("n")).alias("size_class")),
+            ["hub", "size_class"],
+        )
+        .where(distinct & (missing <= 0))
     )
-    fits = (
-        (F.col("x_component") != F.col("component"))
-        & F.col("n").between(F.col("x_low"), F.col("x_high"))
-        & F.col("x_n").between(F.col("low"), F.col("high"))
+    # Only shingles that several families have beyond the hub can bring a pair together.
+    beyond = rows.select("hub", *facts, "main", F.explode("beyond").alias("shingle"))
+    ends = beyond.groupBy("hub", "shingle").agg(
+        F.min("family").alias("low"), F.max("family").alias("high")
     )
-    pairs = asking.join(held, ["band", "size_class"]).where(fits)
-    return pairs.select(
-        F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b")
-    ).distinct()
-
-
-def _matchable(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """How many shingles of every class occur in a second of these classes."""
-
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_numpy()
-            sets = shingle_sets(*text_bytes(batch, "text"), words)
-            for i, s in zip(ids, sets, strict=True):
-                for at in range(0, len(s), 50_000):
-                    some = s[at : at + 50_000].astype(np.int64)
-                    yield pa.RecordBatch.from_pydict({"id": np.full(len(some), i), "shingle": some})
-
-    rows = texts.join(ids, "id", "left_semi").mapInArrow(shingles, "id long, shingle long")
-    twice = rows.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    twice = stored(twice.where(F.col("low") < F.col("high")).select("shingle"), "shared-shingles")
-    return rows.join(twice, "shingle").groupBy("id").agg(F.count("*").alias("matchable"))
+    met = ends.where(F.col("low") < F.col("high")).select("hub", "shingle")
+    beyond = stored(beyond.join(stored(met, "met-shingles"), ["hub", "shingle"]), "beyond-shingles")
+    by_shingle = (
+        beyond.where(F.col("family") != F.col("main"))
+        .select("hub", "shingle", *asked)
+        .join(beyond.select("hub", "shingle", *facts), ["hub", "shingle"])
+        .where(distinct & (missing > 0))
+        .groupBy("hub", "x_id", "id")
+        .agg(F.count("*").alias("together"), F.first(missing).alias("missing"))
+        .where(F.col("together") >= F.col("missing"))
+    )
+    pairs = by_size.select("x_id", "id").union(by_shingle.select("x_id", "id"))
+    return pairs.select(F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b")).distinct()
