@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import stored, utf8, words_of
-from starmill.llm.pieces import Vocabulary, expected_counts, marginals
+from starmill.llm.pieces import Trie, Vocabulary, expected_counts, marginals
 
 #: Languages with scores of their own; all others share one more set.
 MAX_MODELS = 12
@@ -105,7 +105,7 @@ class LatticeModel:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
-    def scores(self, words: list[bytes], counts: np.ndarray, trie: dict[bytes, int]) -> np.ndarray:
+    def scores(self, words: list[bytes], counts: np.ndarray, trie: Trie) -> np.ndarray:
         """log10 probability of every word (b"" is the end) per model."""
         out = np.empty((len(words), len(self.shares)))
         for a in range(0, len(words), CHUNK):

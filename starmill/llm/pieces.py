@@ -6,10 +6,61 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+from starmill.llm.common import mix64
+
 #: Added to a piece's rank before it is read as a frequency rank (Zipf-Mandelbrot).
 RANK_OFFSET = 2.7
 
 
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Trie:
+    """Beginnings of pieces by a hash of their bytes, to be looked up many at once."""
+
+    def __init__(self, pieces: list[bytes]):
+        known = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
+        known.update((p, i) for i, p in enumerate(pieces))
+        keys = np.zeros(len(known), np.uint64)
+        for i, beginning in enumerate(known):
+            key = 0
+            for byte in beginning:
+                key = (key * int(_FACTOR) + byte + 1) % 2**64
+            keys[i] = key
+        numbers = np.fromiter(known.values(), np.int32, len(known))
+        self.longest = max(map(len, pieces), default=0)
+        # Two tables; what collides in the first goes to the second, the rest to a list.
+        self._keys = np.zeros((2, 1 << 19), np.uint64)
+        self._numbers = np.full((2, 1 << 19), -2, np.int32)
+        rest = np.arange(len(keys))
+        for table in range(2):
+            slots, first = np.unique(self._slot(keys[rest], table), return_index=True)
+            self._keys[table, slots] = keys[rest[first]]
+            self._numbers[table, slots] = numbers[rest[first]]
+            rest = np.delete(rest, first)
+        rest = rest[np.argsort(keys[rest])]
+        self._rest, self._rest_numbers = keys[rest], numbers[rest]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, table: int) -> np.ndarray:
+        return (mix64(keys, 71 + table) >> np.uint64(45)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The piece of every key, -1 where it only begins pieces, -2 where it does not."""
+        out = np.full(len(keys), -2, np.int32)
+        at = np.arange(len(keys))
+        for table in range(2):
+            slot = self._slot(keys[at], table)
+            hit = self._keys[table, slot] == keys[at]
+            out[at[hit]] = self._numbers[table, slot[hit]]
+            at = at[~hit]
+        if len(self._rest):
+            place = np.minimum(np.searchsorted(self._rest, keys[at]), len(self._rest) - 1)
+            hit = self._rest[place] == keys[at]
+            out[at[hit]] = self._rest_numbers[place[hit]]
+        return out
+
+
 @dataclass
 class Vocabulary:
     """Pieces as bytes, a leading space included, their ids and log probabilities."""
@@ -17,14 +68,11 @@ class Vocabulary:
     pieces: list[bytes]
     ids: np.ndarray
     log_probs: np.ndarray
-    #: Beginnings of pieces with the piece's number, or -1 where it only begins others.
-    trie: dict[bytes, int] = field(repr=False)
+    trie: Trie = field(repr=False)
 
     @staticmethod
     def of(pieces: list[bytes], ids: list[int], log_probs: np.ndarray) -> Vocabulary:
-        trie: dict[bytes, int] = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
-        trie.update((p, i) for i, p in enumerate(pieces))
-        return Vocabulary(pieces, np.array(ids, np.int64), log_probs, trie)
+        return Vocabulary(pieces, np.array(ids, np.int64), log_probs, Trie(pieces))
 
 
 def read_vocabulary(path: str) -> Vocabulary:
@@ -80,26 +128,30 @@ class Lattices:
         return int(self.last[-1]) + 1 if len(self.last) else 0
 
 
-def lattices(words: list[bytes], trie: dict[bytes, int]) -> Lattices:
+def lattices(words: list[bytes], trie: Trie) -> Lattices:
     """Every way to write the words as pieces."""
-    start: list[int] = []
-    end: list[int] = []
-    piece: list[int] = []
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     first = np.cumsum(sizes + 1) - (sizes + 1)
-    find = trie.get
-    for base, word in zip(first.tolist(), words, strict=True):
-        size = len(word)
-        for i in range(size):
-            for j in range(i + 1, size + 1):
-                known = find(word[i:j])
-                if known is None:
-                    break
-                if known >= 0:
-                    start.append(base + i)
-                    end.append(base + j)
-                    piece.append(known)
-    s, e, p = (np.array(x, np.int64) for x in (start, end, piece))
+    data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
+    word = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # bytes to the word's end
+    at, key = np.arange(len(data)), np.zeros(len(data), np.uint64)
+    start, end, piece = [], [], []
+    for size in range(1, trie.longest + 1):
+        inside = left[at] >= size
+        at, key = at[inside], key[inside]
+        if not len(at):
+            break
+        with np.errstate(over="ignore"):
+            key = key * _FACTOR + data[at + size - 1]
+        found = trie.find(key)
+        node = at[found >= 0] + word[at[found >= 0]]
+        start.append(node)
+        end.append(node + size)
+        piece.append(found[found >= 0].astype(np.int64))
+        at, key = at[found > -2], key[found > -2]
+    none = [np.zeros(0, np.int64)]
+    s, e, p = (np.concatenate(x or none) for x in (start, end, piece))
     level = e - np.repeat(first, sizes + 1)[e] if len(e) else e
     order = np.lexsort((e, level))
     levels = np.searchsorted(level[order], np.arange(1, int(sizes.max(initial=0)) + 2))
@@ -138,14 +190,14 @@ def backward(words: Lattices, log_probs: np.ndarray) -> np.ndarray:
     return ahead
 
 
-def marginals(words: list[bytes], vocabulary_trie: dict[bytes, int], log_probs: np.ndarray) -> np.ndarray:
+def marginals(words: list[bytes], trie: Trie, log_probs: np.ndarray) -> np.ndarray:
     """Log probability of every word, summed over all its segmentations, per model."""
-    lattice = lattices(words, vocabulary_trie)
+    lattice = lattices(words, trie)
     return forward(lattice, log_probs)[lattice.last]
 
 
 def expected_counts(
-    words: list[bytes], weights: np.ndarray, trie: dict[bytes, int], log_probs: np.ndarray
+    words: list[bytes], weights: np.ndarray, trie: Trie, log_probs: np.ndarray
 ) -> np.ndarray:
     """How often every piece is used, in expectation over the segmentations of words
     that occur ``weights`` times (a row per word, a column per model)."""

@@ -16,6 +16,7 @@ from starmill.llm import (
     near_dedup,
     packing,
     pieces,
+    sampling,
     suffix_dedup,
     toxicity,
     vector_topk,
@@ -162,3 +163,10 @@ def op6_suffix_dedup(spark, sf_dir):
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op8_gumbel_segmentations")
+def op8_gumbel_segmentations(spark, sf_dir):
+    vocabulary = pieces.read_vocabulary(public_tokenizers.path(PIECES))
+    drawn = sampling.sample_segmentations(table(spark, sf_dir, "documents"), vocabulary)
+    return drawn.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
