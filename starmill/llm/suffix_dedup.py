@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.anchors import Anchors
-from starmill.llm.common import stored, utf8
+from starmill.llm.common import utf8
 from starmill.llm.runs import encode_run, merge_runs
 
 #: Bytes that must agree, and those of the run that anchors them.
 MATCH, GRAM = 50, 24
 #: Documents of a group that one task holds at once, and of which a range's runs come.
-GROUP_DOCS, RANGE_DOCS = 1024, 2048
+GROUP_DOCS, RANGE_DOCS = 2048, 2048
 #: Groups of hash values.
 BUCKETS = 1024
 #: Anchors that a task gathers before it hands on their hashes.
@@ -28,7 +28,7 @@ SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 16
 _NO_ID = 2**63 - 1
 
 _PACKED = pa.schema([("grp", pa.int32()), ("blob", pa.binary())])
-_KEYED = "kind int, key int, blob binary"
+_KEYED = "kind int, key int, grp int, blob binary"
 RUN, REMOVED = 0, 1
 
 
@@ -51,7 +51,7 @@ def _grouped(docs: DataFrame, groups: int) -> DataFrame:
                 facts = np.stack([row_ids[rows], ids[rows], nulls[rows], [len(d) for d in data]])
                 whole = b"".join([head.tobytes(), facts.astype("<i8").tobytes(), *data])
                 keys.append(int(grp[rows[0]]))
-                blobs.append(zstandard.compress(whole, 1))
+                blobs.append(zstandard.compress(whole, 3))
             yield pa.RecordBatch.from_pydict({"grp": keys, "blob": blobs}, schema=_PACKED)
 
     rows = _rows(docs, groups)
@@ -138,14 +138,18 @@ def _anchor_hashes(docs: DataFrame, groups: int) -> DataFrame:
 
 
 def _narrow(groups_: np.ndarray, groups: int) -> bytes:
-    return groups_.astype("<i2" if groups < 2**15 else "<i4").tobytes()
+    return groups_.astype(_group_kind(groups)).tobytes()
+
+
+def _group_kind(groups: int) -> str:
+    return "<i1" if groups < 2**7 else "<i2" if groups < 2**15 else "<i4"
 
 
 def _repeated_codes(groups: int):
     def repeated(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         """(grp, bucket, codes) of the anchors that two documents share."""
         codes, grps = [], []
-        kind = "<i2" if groups < 2**15 else "<i4"
+        kind = _group_kind(groups)
         for blob in frame["blob"]:
             (n,) = np.frombuffer(blob, "<i8", 1)
             codes.append(np.frombuffer(blob, "<u4", n, 8))
@@ -192,7 +196,7 @@ def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> np.ndarray:
 
 def _runs(
     rows: np.ndarray, notes: np.ndarray, table: np.ndarray, splitters: np.ndarray
-) -> Iterator[tuple[int, int, bytes]]:
+) -> Iterator[tuple[int, int, int, bytes]]:
     """Sorted rows as one front-coded run for every range."""
     if len(rows):
         heads = np.ascontiguousarray(rows[:, :MATCH]).view(f"S{MATCH}").ravel()
@@ -201,7 +205,7 @@ def _runs(
         for a, b in zip(cuts, np.append(cuts[1:], len(key))):
             used, notes_ = np.unique(notes[a:b, 0], return_inverse=True)
             own = np.column_stack([notes_, notes[a:b, 1:]])
-            yield RUN, int(key[a]), encode_run(rows[a:b], own, table[used])
+            yield RUN, int(key[a]), -1, encode_run(rows[a:b], own, table[used])
 
 
 def _settle(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,17 +241,21 @@ def _spans(row_ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return np.column_stack([row_ids[heads], starts[heads], furthest[last]])
 
 
-def _removed(spans: np.ndarray, groups_of: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Spans by group of their document."""
+def _removed(
+    spans: np.ndarray, groups_of: np.ndarray, ranges: int
+) -> Iterator[tuple[int, int, int, bytes]]:
+    """Spans by group of their document. They travel with the runs, whose next task
+    passes them on, so that nothing but this one exchange has to hold either."""
     order = np.argsort(groups_of, kind="stable")
     spans, groups_of = spans[order], groups_of[order]
     cuts = np.flatnonzero(np.diff(groups_of, prepend=-1))
     for a, b in zip(cuts, np.append(cuts[1:], len(groups_of))):
-        yield REMOVED, int(groups_of[a]), spans[a:b].astype("<i8").tobytes()
+        grp = int(groups_of[a])
+        yield REMOVED, grp % ranges, grp, zstandard.compress(spans[a:b].astype("<i8").tobytes(), 3)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["kind", "key", "blob"])
+    return pd.DataFrame(rows, columns=["kind", "key", "grp", "blob"])
 
 
 #: A context: the bytes from an anchor on, those before it backwards, and how many
@@ -302,11 +310,11 @@ def _context_runs(splitters: np.ndarray):
         gone = _spans(texts.row_ids[text[~first]], begin[~first], end[~first])
         at = anchors.at[some] - base
         notes = np.column_stack(
-            [text, at, at - (anchors.last[some] - base), at - (anchors.first[some] - base)]
+            [text, at, 256 * (anchors.at - anchors.last)[some] + (anchors.at - anchors.first)[some]]
         )[first]
         table = np.column_stack([texts.ids, texts.row_ids, np.full(len(texts.ids), key[0])])
         out = list(_runs(rows[first], notes, table, splitters))
-        out += _removed(gone, np.full(len(gone), key[0]))
+        out += _removed(gone, np.full(len(gone), key[0]), len(splitters) + 1)
         return _frame(out)
 
     return make
@@ -317,7 +325,8 @@ def _merged_contexts(splitters: np.ndarray):
         """Equal contexts of a range: all but those of the smallest document are removed
         whole. The others hand on, as strings of their own, the windows that a
         neighbour of another context may share."""
-        blobs = list(frame["blob"])
+        passed = frame["kind"] == REMOVED
+        blobs = list(frame.loc[~passed, "blob"])
         gone: list[tuple] = []
         strings: list[bytes] = []
         places: list[tuple] = []
@@ -329,7 +338,8 @@ def _merged_contexts(splitters: np.ndarray):
             facts = [(*run.table[run.notes[0, i]].tolist(), *run.notes[1:, i].tolist()) for run, i in group]
             least = min(f[0] for f in facts)
             reach = min(_RIGHT, max(before, after))
-            for doc_id, row_id, grp, at, nearest, furthest in facts:
+            for doc_id, row_id, grp, at, reach_back in facts:
+                nearest, furthest = divmod(reach_back, 256)
                 if doc_id != least:
                     gone.append((row_id, at - furthest, at - nearest + MATCH, grp))
                     continue
@@ -347,13 +357,17 @@ def _merged_contexts(splitters: np.ndarray):
             group.append((run, i))
         if group:
             close(_RIGHT)
-        out = _gone_rows(gone)
+        ranges = len(splitters) + 1
+        out = [tuple(row) for row in frame[passed].itertuples(index=False)]
+        out += _gone_rows(gone, ranges)
         if strings:
             rows = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, MATCH)
             facts = np.array(places, np.int64)
             order, first, rows = _settle(rows, facts[:, 0])
             facts = facts[order]
-            out += _gone_rows([(r, p, p + MATCH, g) for _, r, g, p in facts[~first].tolist()])
+            out += _gone_rows(
+                [(r, p, p + MATCH, g) for _, r, g, p in facts[~first].tolist()], ranges
+            )
             keep = facts[first]
             table, number = np.unique(keep[:, :3], axis=0, return_inverse=True)
             notes = np.column_stack([number.ravel(), keep[:, 3]])
@@ -363,18 +377,19 @@ def _merged_contexts(splitters: np.ndarray):
     return merge
 
 
-def _gone_rows(gone: list[tuple]) -> list[tuple]:
+def _gone_rows(gone: list[tuple], ranges: int) -> list[tuple]:
     if not gone:
         return []
     rows = np.array(gone, np.int64)
     spans = _spans(rows[:, 0], rows[:, 1], rows[:, 2])
     of = rows[np.argsort(rows[:, 0], kind="stable")]
     grp = of[np.searchsorted(of[:, 0], spans[:, 0]), 3]
-    return list(_removed(spans, grp))
+    return list(_removed(spans, grp, ranges))
 
 
 def _merged_windows(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Equal windows of a range: all but those of the smallest document are removed."""
+    passed = frame["kind"] == REMOVED
     gone: list[tuple] = []
     group: list[tuple] = []
 
@@ -384,13 +399,14 @@ def _merged_windows(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             least = min(f[0] for f in facts)
             gone.extend((r, p, p + MATCH, g) for doc, r, g, p in facts if doc != least)
 
-    for shared, _, run, i in merge_runs(list(frame["blob"])):
+    for shared, _, run, i in merge_runs(list(frame.loc[~passed, "blob"])):
         if shared < MATCH:
             close()
             group.clear()
         group.append((run, i))
     close()
-    return _frame(_gone_rows(gone))
+    out = [tuple(row) for row in frame[passed].itertuples(index=False)]
+    return _frame(out + _gone_rows(gone, 1))
 
 
 KEPT = "row_id long, doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
@@ -401,7 +417,7 @@ def _kept(key: tuple, packed: pd.DataFrame, removed: pd.DataFrame) -> pd.DataFra
     if packed.empty:
         return pd.DataFrame(columns=["row_id", "doc_id", "n_bytes", "n_removed", "spans", "kept"])
     texts = _Texts(list(packed["blob"]))
-    parts = [np.frombuffer(b, "<i8").reshape(-1, 3) for b in removed["blob"]]
+    parts = [np.frombuffer(zstandard.decompress(b), "<i8").reshape(-1, 3) for b in removed["blob"]]
     all_spans = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
     all_spans = _spans(*all_spans.T)
     order = np.argsort(texts.row_ids)
@@ -451,17 +467,12 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         .groupBy("bucket")
         .applyInPandas(_repeated_codes(groups), "grp int, bucket int, codes binary")
     )
-    contexts = stored(
+    contexts = (
         _grouped(docs, groups)
         .groupBy("grp")
         .cogroup(repeated.groupBy("grp"))
-        .applyInPandas(_context_runs(splitters), _KEYED),
-        "context-runs",
+        .applyInPandas(_context_runs(splitters), _KEYED)
     )
-    runs = contexts.where(F.col("kind") == RUN).groupBy("key")
-    windows = stored(runs.applyInPandas(_merged_contexts(splitters), _KEYED), "window-runs")
-    runs = windows.where(F.col("kind") == RUN).groupBy("key")
-    last = runs.applyInPandas(_merged_windows, _KEYED)
-    removed = contexts.union(windows).where(F.col("kind") == REMOVED).union(last)
-    removed = removed.select(F.col("key").alias("grp"), "blob")
+    windows = contexts.groupBy("key").applyInPandas(_merged_contexts(splitters), _KEYED)
+    removed = windows.groupBy("key").applyInPandas(_merged_windows, _KEYED).select("grp", "blob")
     return _grouped(docs, groups).groupBy("grp").cogroup(removed.groupBy("grp")).applyInPandas(_kept, KEPT)
