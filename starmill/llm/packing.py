@@ -35,7 +35,7 @@ _ARROW = pa.schema(
     ]
 )
 #: Distinct words whose ids a task remembers; beyond, it forgets them and starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 #: Sequence ids leave room for this many sequences of one task.
 PER_TASK = 2**40
 
@@ -123,7 +123,9 @@ class WordCache:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of every text, in order."""
-        split = [text.split() for text in texts]
+        # Lower case ahead of the cache, unless it could make a special token.
+        lower = self._cut is not None
+        split = [(t.lower() if lower and b"<|" not in t else t).split() for t in texts]
         new = set().union(*split).difference(self._index)
         if len(new) + len(self._index) > self._limit:
             self._clear()
