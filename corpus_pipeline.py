@@ -37,6 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     found = near_dedup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = gone.hint("merge")
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
@@ -51,7 +52,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rows = docs.withColumn("row_id", F.monotonically_increasing_id())
     rows = rows.withColumn("had_text", F.col("text").isNotNull()).drop("text")
     whole = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    joined = rows.join(kept, "row_id").withColumn("text", F.when(F.col("had_text"), whole))
+    joined = rows.hint("merge").join(kept, "row_id").withColumn("text", F.when(F.col("had_text"), whole))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)

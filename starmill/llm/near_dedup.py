@@ -178,7 +178,8 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) that are similar on their full sets."""
     for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"t_{side}")), side)
+        held = texts.select(F.col("id").alias(side), F.col("text").alias(f"t_{side}"))
+        pairs = pairs.hint("merge").join(held, side)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
@@ -273,7 +274,9 @@ def _bands(classes: DataFrame, percent: int) -> DataFrame:
 def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
     """Texts of the classes that share a band value: all that may be verified."""
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), utf8().alias("text"))
-    return stored(rows.join(shared.select("id").distinct(), "id", "left_semi"), "candidate-texts")
+    # Merged at every size: whether the ids could be broadcast depends on the input.
+    wanted = shared.select("id").distinct().hint("merge")
+    return stored(rows.join(wanted, "id", "left_semi"), "candidate-texts")
 
 
 def _families(links: DataFrame) -> DataFrame:
@@ -293,7 +296,8 @@ def _beyond_hub(contexts: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Per class and hub: the size of the class, what it shares with the hub, and the
     hashes of its other shingles."""
     for side, name in (("id", "t_a"), ("hub", "t_b")):
-        contexts = contexts.join(texts.select(F.col("id").alias(side), F.col("text").alias(name)), side)
+        held = texts.select(F.col("id").alias(side), F.col("text").alias(name))
+        contexts = contexts.hint("merge").join(held, side)
     through = ["hub", "id", "family", "main", "best"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
