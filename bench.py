@@ -31,6 +31,7 @@ HEADLINE = [
     "keyword_ranking",
     "join_own_total",
     "ml_features",
+    "ml_metrics",
 ]
 RUNS = 3
 

@@ -14,6 +14,7 @@ from starmill.catalog import (  # noqa: F401
     model,
     ranking,
     scalars,
+    surfaces,
     text,
 )
 from starmill.catalog.registry import ORACLES, QUERIES  # noqa: F401

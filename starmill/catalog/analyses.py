@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starmill.catalog.bindings import (
     DOCUMENT_REVIEWS,
     LINE_REVIEWS,
@@ -14,7 +16,12 @@ from starmill.catalog.bindings import (
     order_reviews,
     part_products,
 )
+from starmill.catalog.cleaning import CLEAN_REVIEWS
+from starmill.catalog.bindings import raw_reviews, table
 from starmill.catalog.registry import query
+from starmill.functions.buckets import LENGTH_EDGES, LENGTH_LABELS
+from starmill.operators.moments import Moments, centred
+from starmill.plans.cleaning import clean_reviews
 from starmill.catalog.text import cleaned, ranked
 from starmill.plans import analyses
 
@@ -58,21 +65,37 @@ def verified_compare(spark, sf_dir):
     return analyses.verified_compare(line_reviews(spark, sf_dir))
 
 
-VOTES_BY_LENGTH = f"""
+def bucket_sql(value: str, names) -> str:
+    """A CASE over edges, the last name being open."""
+    edges, results = names
+    cases = " ".join(f"WHEN {value} < {e} THEN {r}" for e, r in zip(edges, results))
+    return f"CASE {cases} ELSE {results[len(edges)]} END"
+
+
+def quoted(labels) -> list[str]:
+    return [f"'{label}'" for label in labels]
+
+
+def votes_sql(reviews: str) -> str:
+    numbers = range(1, len(LENGTH_LABELS) + 1)
+    return f"""
     WITH usable AS (
-        SELECT CAST(rating AS INTEGER) AS rating, helpful_votes, review_length,
-               1 + (review_length >= 100)::INTEGER + (review_length >= 300)::INTEGER
-                 + (review_length >= 700)::INTEGER + (review_length >= 1500)::INTEGER AS bucket
-        FROM ({LINE_REVIEWS})
-        WHERE rating IS NOT NULL AND helpful_votes IS NOT NULL AND review_length IS NOT NULL)
+        SELECT TRY_CAST(rating AS INTEGER) AS rating, helpful_votes, review_length,
+               {bucket_sql("review_length", (LENGTH_EDGES, numbers))} AS bucket,
+               {bucket_sql("review_length", (LENGTH_EDGES, quoted(LENGTH_LABELS)))} AS label
+        FROM ({reviews})
+        WHERE TRY_CAST(rating AS INTEGER) IS NOT NULL AND helpful_votes IS NOT NULL
+          AND review_length IS NOT NULL)
     SELECT rating, CAST(bucket AS INTEGER) AS review_length_bucket_order,
-           ['0-99 chars', '100-299 chars', '300-699 chars', '700-1499 chars',
-            '1500+ chars'][bucket] AS review_length_bucket,
+           label AS review_length_bucket,
            COUNT(*) AS review_count, ROUND(AVG(helpful_votes), 3) AS avg_helpful_votes,
            quantile_disc(helpful_votes, 0.5) AS median_helpful_votes,
            ROUND(AVG(review_length), 1) AS avg_review_length
-    FROM usable GROUP BY rating, bucket
-"""
+    FROM usable GROUP BY rating, bucket, label
+    """
+
+
+VOTES_BY_LENGTH = votes_sql(LINE_REVIEWS)
 
 
 @query("votes_by_length", VOTES_BY_LENGTH)
@@ -80,6 +103,11 @@ def votes_by_length(spark, sf_dir):
     return analyses.votes_by_length(line_reviews(spark, sf_dir))
 
 
+@query("votes_by_length_clean", votes_sql(CLEAN_REVIEWS))
+def votes_by_length_clean(spark, sf_dir):
+    return analyses.votes_by_length(clean_reviews(raw_reviews(spark, sf_dir)))
+
+
 USER_FREQUENCY = f"""
     WITH sized AS (
         SELECT *, COUNT(*) OVER (PARTITION BY "reviewerID") AS n FROM ({ORDER_REVIEWS}))
@@ -100,19 +128,19 @@ def user_frequency(spark, sf_dir):
     return analyses.user_frequency(order_reviews(spark, sf_dir))
 
 
+PRICE_NUMBERS = range(1, len(PART_PRICE_LABELS) + 1)
 PRICE_BUCKETS = f"""
     WITH priced AS (
         SELECT asin, rating, price,
-               1 + (price >= 920)::INTEGER + (price >= 940)::INTEGER
-                 + (price >= 960)::INTEGER + (price >= 980)::INTEGER AS bucket
+               {bucket_sql("price", (PART_PRICE_EDGES, PRICE_NUMBERS))} AS bucket,
+               {bucket_sql("price", (PART_PRICE_EDGES, quoted(PART_PRICE_LABELS)))} AS label
         FROM ({LINE_REVIEWS}) JOIN ({PART_PRODUCTS}) USING (asin)
         WHERE price IS NOT NULL AND price >= 0 AND rating IS NOT NULL)
-    SELECT CAST(bucket AS INTEGER) AS price_bucket_order,
-           ['900-919', '920-939', '940-959', '960-979', '980+'][bucket] AS price_bucket,
+    SELECT CAST(bucket AS INTEGER) AS price_bucket_order, label AS price_bucket,
            COUNT(*) AS review_count, COUNT(DISTINCT asin) AS product_count,
            ROUND(AVG(rating), 3) AS avg_rating, ROUND(STDDEV_SAMP(rating), 3) AS rating_stddev,
            ROUND(AVG(price), 2) AS avg_price
-    FROM priced GROUP BY bucket
+    FROM priced GROUP BY bucket, label
 """
 
 
@@ -126,6 +154,47 @@ def price_buckets(spark, sf_dir):
     )
 
 
+def _amounts(facts, group: str, key: str, amount: str):
+    """Mean and deviation of unrounded amounts per group, collapsed to keys first."""
+    measure = Moments("amount")
+    collapsed = facts.groupBy(group, key).agg(*measure.of(amount))
+    return (
+        centred(collapsed, group, measure)
+        .groupBy(group)
+        .agg(
+            F.sum(measure.count_col).alias("amounts"),
+            F.round(measure.mean(), 4).alias("avg_amount"),
+            F.round(measure.stddev(), 4).alias("amount_stddev"),
+        )
+    )
+
+
+@query(
+    "user_amounts",
+    """
+    SELECT o_orderstatus, COUNT(*) AS amounts, ROUND(AVG(o_totalprice), 4) AS avg_amount,
+           ROUND(STDDEV_SAMP(o_totalprice), 4) AS amount_stddev
+    FROM orders GROUP BY o_orderstatus
+    """,
+)
+def user_amounts(spark, sf_dir):
+    return _amounts(table(spark, sf_dir, "orders"), "o_orderstatus", "o_custkey", "o_totalprice")
+
+
+@query(
+    "price_bucket_amounts",
+    """
+    SELECT l_returnflag, COUNT(*) AS amounts,
+           ROUND(AVG(l_extendedprice + 1e7), 4) AS avg_amount,
+           ROUND(STDDEV_SAMP(l_extendedprice + 1e7), 4) AS amount_stddev
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def price_bucket_amounts(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("amount", F.col("l_extendedprice") + 1e7)
+    return _amounts(lines, "l_returnflag", "l_partkey", "amount")
+
+
 BRAND_RANKING = f"""
     SELECT COALESCE(NULLIF(trim(brand), ''), 'Unknown') AS brand, COUNT(*) AS review_count,
            COUNT(DISTINCT asin) AS product_count, ROUND(AVG(rating), 3) AS avg_rating,

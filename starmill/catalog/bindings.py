@@ -110,15 +110,20 @@ DOCUMENT_REVIEWS = """
 
 
 # Documents as raw review records, every scalar as text and with the usual dirt:
-# missing reviewers, unknown flags, thousands commas, votes that are no number, missing
+# missing reviewers, scores that are no number or far beyond one, unknown flags, thousands commas, votes that are no number, missing
 # texts, and several records of one (reviewer, item, time).
+DIRTY_SCORES = ("NaN", "Infinity", "1e300", "-Infinity")
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_chars, lang, source = F.col("n_chars"), F.col("lang"), F.col("source")
     days = F.floor(n_chars / 400)
+    dirty = F.array(*[F.lit(x) for x in DIRTY_SCORES])
     return table(spark, sf_dir, "documents").select(
         F.nullif(source, F.lit("src3")).alias("reviewerID"),
         F.concat(F.lit("item-"), lang).alias("asin"),
-        F.when(n_chars >= 200, (n_chars % 5 + 1).cast("string"))
+        F.when(source == "src11", F.element_at(dirty, (n_chars % 4 + 1).cast("int")))
+        .when(n_chars >= 200, (n_chars % 5 + 1).cast("string"))
         .otherwise(F.lit("n/a"))
         .alias("overall"),
         F.when(lang == "en", "true").when(lang == "fr", "false").alias("verified"),
@@ -135,7 +140,9 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RAW_REVIEWS = """
     SELECT NULLIF(source, 'src3') AS "reviewerID", 'item-' || lang AS asin,
-           CASE WHEN n_chars >= 200 THEN CAST(n_chars % 5 + 1 AS VARCHAR)
+           CASE WHEN source = 'src11'
+                THEN ['NaN', 'Infinity', '1e300', '-Infinity'][n_chars % 4 + 1]
+                WHEN n_chars >= 200 THEN CAST(n_chars % 5 + 1 AS VARCHAR)
                 ELSE 'n/a' END AS overall,
            CASE lang WHEN 'en' THEN 'true' WHEN 'fr' THEN 'false' END AS verified,
            CASE WHEN n_chars >= 300 THEN text END AS "reviewText",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starmill.catalog import analyses as reports
 from starmill.catalog.registry import query
 from starmill.plans import charts
@@ -104,3 +106,14 @@ def chart_keywords(spark, sf_dir):
 @query("chart_keyword_map")
 def chart_keyword_map(spark, sf_dir):
     return charts.keyword_weights(reports.keyword_ranking(spark, sf_dir))
+
+
+@query(
+    "chart_keyword_weights",
+    f"SELECT sentiment_group, keyword, keyword_count FROM ({reports.KEYWORD_RANKING})",
+)
+def chart_keyword_weights(spark, sf_dir):
+    """The weight maps with a row per entry."""
+    weights = charts.keyword_weights(reports.keyword_ranking(spark, sf_dir))
+    entries = F.explode("keyword_counts").alias("keyword", "keyword_count")
+    return weights.select("sentiment_group", entries)

@@ -16,7 +16,9 @@ from starmill.operators.dedup import dedup_by_key
 from starmill.plans import cleaning
 
 TYPED_REVIEWS = f"""
-    SELECT "reviewerID", asin, TRY_CAST(overall AS DOUBLE) AS rating,
+    SELECT "reviewerID", asin,
+           CASE WHEN isfinite(TRY_CAST(overall AS DOUBLE)) THEN TRY_CAST(overall AS DOUBLE) END
+               AS rating,
            CAST(verified AS BOOLEAN) AS verified, "reviewText", summary,
            CAST("unixReviewTime" AS BIGINT) AS unix_time,
            TRY_CAST(replace(COALESCE(vote, '0'), ',', '') AS INTEGER) AS helpful_votes
@@ -32,7 +34,8 @@ CLEAN_REVIEWS = f"""
     FROM (SELECT *, make_timestamp(unix_time * 1000000) AS day,
                  row_number() OVER (
                      PARTITION BY "reviewerID", asin, unix_time
-                     ORDER BY rating NULLS LAST, verified NULLS LAST, "reviewText" NULLS LAST,
+                     ORDER BY md5(concat_ws('|', COALESCE("reviewText", ''), COALESCE(summary, ''))),
+                              rating NULLS LAST, verified NULLS LAST, "reviewText" NULLS LAST,
                               summary NULLS LAST, helpful_votes NULLS LAST) AS rn
           FROM ({TYPED_REVIEWS})
           WHERE "reviewerID" IS NOT NULL AND asin IS NOT NULL AND rating IS NOT NULL)
@@ -53,7 +56,9 @@ CLEAN_PRODUCTS = r"""
            TRY_CAST(replace(regexp_extract(price, '{price}', 1), ',', '') AS DOUBLE) AS price
     FROM (SELECT *, row_number() OVER (
                         PARTITION BY asin
-                        ORDER BY title NULLS LAST, brand NULLS LAST, price NULLS LAST,
+                        ORDER BY md5(concat_ws('|', COALESCE(title, ''), COALESCE(brand, ''),
+                                               COALESCE(price, ''))),
+                                 title NULLS LAST, brand NULLS LAST, price NULLS LAST,
                                  also_buy NULLS LAST, also_view NULLS LAST) AS rn
           FROM ({source}) WHERE asin IS NOT NULL)
     WHERE rn = 1
@@ -94,13 +99,13 @@ def _with_text_arrays(products):
          kept AS (SELECT DISTINCT "reviewerID", asin, unix_time FROM typed WHERE valid),
          parts AS (SELECT *, p_asin IS NOT NULL AS valid
                    FROM (SELECT asin AS p_asin FROM ({RAW_PRODUCTS})))
-    SELECT 'reviews' AS table_name, raw_rows, rejected_rows,
+    SELECT 'reviews' AS table_name, raw_rows, 0::BIGINT AS corrupt_rows, rejected_rows,
            raw_rows - rejected_rows - clean_rows AS surplus_rows, clean_rows
     FROM (SELECT (SELECT COUNT(*) FROM typed) AS raw_rows,
                  (SELECT COUNT(*) FROM typed WHERE NOT valid) AS rejected_rows,
                  (SELECT COUNT(*) FROM kept) AS clean_rows)
     UNION ALL
-    SELECT 'products', raw_rows, rejected_rows, raw_rows - rejected_rows - clean_rows, clean_rows
+    SELECT 'products', raw_rows, 0::BIGINT, rejected_rows, raw_rows - rejected_rows - clean_rows, clean_rows
     FROM (SELECT (SELECT COUNT(*) FROM parts) AS raw_rows,
                  (SELECT COUNT(*) FROM parts WHERE NOT valid) AS rejected_rows,
                  (SELECT COUNT(DISTINCT p_asin) FROM parts) AS clean_rows)
@@ -108,9 +113,8 @@ def _with_text_arrays(products):
 )
 def clean_counts(spark, sf_dir):
     raw = raw_reviews(spark, sf_dir)
-    reviews = cleaning.review_counts(raw, cleaning.clean_reviews(raw))
-    raw = raw_products(spark, sf_dir)
-    products = cleaning.product_counts(raw, cleaning.clean_products(raw))
+    reviews = cleaning.review_counts(raw)
+    products = cleaning.product_counts(raw_products(spark, sf_dir))
     return reviews.select(F.lit("reviews").alias("table_name"), "*").unionByName(
         products.select(F.lit("products").alias("table_name"), "*")
     )
@@ -122,7 +126,7 @@ def clean_counts(spark, sf_dir):
     SELECT * EXCLUDE (rn)
     FROM (SELECT *, row_number() OVER (
                         PARTITION BY l_orderkey, l_linenumber
-                        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+                        ORDER BY md5(concat_ws('|', l_returnflag, l_linestatus)), l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
                                  l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
           FROM lineitem)
     WHERE rn = 1

@@ -63,3 +63,51 @@ def join_own_total(spark, sf_dir):
     frequent = F.col("user_review_count") >= 10
     group = F.when(frequent, "high_frequency_user").otherwise("ordinary_user")
     return sized.select("*", group.alias("user_group"))
+
+
+# Orders with a key that a third of them share, and an order priority as its only lookup.
+SKEWED = """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -1 WHEN o_orderkey % 7 = 0 THEN NULL
+                            ELSE o_custkey END AS k
+    FROM orders
+"""
+NAMES = """
+    SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 2 = 0
+    UNION ALL SELECT -1, 'everybody'
+"""
+
+
+def _skewed(spark, sf_dir):
+    order = F.col("o_orderkey")
+    key = F.when(order % 3 == 0, F.lit(-1)).when(order % 7 == 0, None).otherwise(F.col("o_custkey"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", key.alias("k"))
+
+
+def _names(spark, sf_dir):
+    even = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0")
+    everybody = spark.range(1).select(F.lit(-1).cast("bigint"), F.lit("everybody"))
+    return even.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")).union(everybody)
+
+
+@query("join_inner_split", f"SELECT o_orderkey, k, name FROM ({SKEWED}) JOIN ({NAMES}) USING (k)")
+def join_inner_split(spark, sf_dir):
+    joined = lookup_join(_skewed(spark, sf_dir), _names(spark, sf_dir), "k", parts=50, min_rows=1)
+    return joined.select("o_orderkey", "k", "name")
+
+
+@query("join_left_split", f"SELECT o_orderkey, k, name FROM ({SKEWED}) LEFT JOIN ({NAMES}) USING (k)")
+def join_left_split(spark, sf_dir):
+    facts, names = _skewed(spark, sf_dir), _names(spark, sf_dir)
+    joined = lookup_join(facts, names, "k", "left", parts=50, min_rows=1)
+    return joined.select("o_orderkey", "k", "name")
+
+
+@query(
+    "join_own_total_skewed",
+    f"""
+    SELECT o_orderkey, k, COUNT(*) OVER (PARTITION BY k) AS n FROM ({SKEWED}) WHERE k IS NOT NULL
+    """,
+)
+def join_own_total_skewed(spark, sf_dir):
+    sized = with_group_size(_skewed(spark, sf_dir), "k", "n", parts=50, min_rows=1)
+    return sized.select("o_orderkey", "k", "n")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -44,12 +42,6 @@ def _features(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    return _train_once(spark.sparkContext.applicationId, spark, sf_dir)
-
-
-@lru_cache(maxsize=4)
-def _train_once(application_id, spark, sf_dir):
-    """One training run serves all the queries of a session that look at the model."""
     return helpful_model.train_model(
         line_reviews(spark, sf_dir), part_products(spark, sf_dir), keys=KEYS
     )
@@ -126,3 +118,35 @@ def ml_metrics(spark, sf_dir):
 @query("ml_coefficients")
 def ml_coefficients(spark, sf_dir):
     return _trained(spark, sf_dir).coefficients()
+
+
+@query(
+    "ml_test_rates",
+    f"""
+    SELECT COUNT(*) AS evaluated_rows, ROUND(AVG(is_helpful), 6) AS positive_label_rate
+    FROM ({ML_FEATURES}) WHERE {IS_TRAIN.strip()} = 0
+    """,
+)
+def ml_test_rates(spark, sf_dir):
+    seen = _trained(spark, sf_dir).summary()
+    rate = F.round("positive_label_rate", 6).alias("positive_label_rate")
+    return seen.select("evaluated_rows", rate)
+
+
+@query(
+    "ml_score_check",
+    f"""
+    SELECT COUNT(*) AS rows_scored, 0::BIGINT AS rows_off
+    FROM ({ML_FEATURES}) WHERE {IS_TRAIN.strip()} = 0
+    """,
+)
+def ml_score_check(spark, sf_dir):
+    """Stored probabilities against those recomputed from the coefficients."""
+    trained = _trained(spark, sf_dir)
+    weights = dict(zip(FEATURES, map(float, trained.model.coefficients)))
+    margin = sum((F.col(c) * w for c, w in weights.items()), F.lit(float(trained.model.intercept)))
+    own = 1 / (1 + F.exp(-margin))
+    stored = vector_to_array("probability").getItem(1)
+    return trained.predictions().agg(
+        F.count("*").alias("rows_scored"), F.count_if(F.abs(own - stored) > 1e-9).alias("rows_off")
+    )

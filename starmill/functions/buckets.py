@@ -24,8 +24,10 @@ def bucket_order(value: Column, edges: Sequence[float]) -> Column:
     return order.otherwise(F.lit(len(edges) + 1))
 
 
-def bucket_label(order: Column, labels: Sequence[str]) -> Column:
+def bucket_label(order: Column, labels: Sequence[str], edges: Sequence[float]) -> Column:
     """Label of a bucket number. Group by the number and label the few results."""
+    if len(labels) != len(edges) + 1:
+        raise ValueError(f"{len(edges)} edges make {len(edges) + 1} buckets, not {len(labels)}")
     return F.get(F.array(*[F.lit(label) for label in labels]), order - 1)
 
 

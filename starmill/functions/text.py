@@ -31,13 +31,9 @@ def text_length(text: Column) -> Column:
     return F.length(F.coalesce(text, F.lit("")))
 
 
-def join_texts(headline: Column, body: Column, body_chars: int | None = None) -> Column:
-    """Headline and body as one text. ``body_chars`` is for reproducing published runs
-    that read only the start of long bodies; by default the whole body counts."""
-    body = F.coalesce(body, F.lit(""))
-    if body_chars is not None:
-        body = F.substring(body, 1, body_chars)
-    return F.concat_ws(" ", F.coalesce(headline, F.lit("")), body)
+def join_texts(headline: Column, body: Column) -> Column:
+    """Headline and whole body as one text."""
+    return F.concat_ws(" ", F.coalesce(headline, F.lit("")), F.coalesce(body, F.lit("")))
 
 
 def normalize_text(text: Column, word_chars: str = ASCII_WORD) -> Column:

@@ -1,31 +1,35 @@
 """Means and deviations that survive a second aggregation.
 
-Count, sum and sum of squares per key add up across keys, so a report over groups of
-users or products first collapses the facts to one row per user or product. For scores
-with whole-number values the sums are exact and no partitioning changes the result.
+A report over groups of users or products first collapses the facts to one row per user
+or product: count, sum, mean and centred squares of a measure. The second aggregation
+adds the squares of every row's mean around the mean of its group, so that no large
+numbers cancel, whatever the offset of the measure.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 class Moments:
-    """Partial sums of one measure under a column prefix, and the figures made of them."""
+    """Partial results of one measure under a column prefix, and the figures made of them."""
 
     def __init__(self, prefix: str):
-        self.count_col, self.sum_col, self.square_col = (
-            f"{prefix}_{part}" for part in ("n", "sum", "square")
+        self.count_col, self.sum_col, self.mean_col, self.square_col, self.centre_col = (
+            f"{prefix}_{part}" for part in ("n", "sum", "mean", "square", "centre")
         )
 
     def of(self, measure: str) -> list[Column]:
-        """First aggregation: partial sums of a measure."""
+        """First aggregation: partial results of a measure."""
         value = F.col(measure).cast("double")
         return [
             F.count(value).alias(self.count_col),
             F.sum(value).alias(self.sum_col),
-            F.sum(value * value).alias(self.square_col),
+            F.avg(value).alias(self.mean_col),
+            (F.var_pop(value) * F.count(value)).alias(self.square_col),
         ]
 
     def mean(self) -> Column:
@@ -33,7 +37,17 @@ class Moments:
         return F.try_divide(F.sum(self.sum_col), F.sum(self.count_col))
 
     def stddev(self) -> Column:
-        """Second aggregation: sample standard deviation over all rows."""
-        n, total = F.sum(self.count_col), F.sum(self.sum_col)
-        spread = F.greatest(F.sum(self.square_col) - F.try_divide(total * total, n), F.lit(0.0))
+        """Second aggregation, after ``centred``: sample standard deviation over all rows."""
+        n = F.sum(self.count_col)
+        apart = F.col(self.mean_col) - F.col(self.centre_col)
+        spread = F.sum(self.square_col) + F.sum(F.col(self.count_col) * apart * apart)
         return F.sqrt(F.when(n > 1, F.try_divide(spread, n - 1)))
+
+
+def centred(collapsed: DataFrame, group: str, *measures: Moments) -> DataFrame:
+    """Collapsed rows with the mean of their group, one small aggregate joined back.
+
+    ``group`` must not be null.
+    """
+    centres = collapsed.groupBy(group).agg(*[m.mean().alias(m.centre_col) for m in measures])
+    return collapsed.join(centres, group)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.sources.schemas import CORRUPT
+
 
 def profile_table(df: DataFrame, name: str) -> DataFrame:
     """One row per column: table, position, column, type, and the table's row count."""
@@ -30,13 +32,20 @@ def sample_rows(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def clean_counts(raw: DataFrame, valid: Column, cleaned: DataFrame) -> DataFrame:
-    """Rows before cleaning, rows failing ``valid``, surplus copies, and rows kept.
+    """Rows before cleaning, those that did not parse whole, rows failing ``valid``,
+    surplus copies, and rows kept. A corrupt row may still be valid: what of it parsed
+    is used, so it counts in both places.
 
     With ``cleaned`` read back from where it was written this costs a file footer count
     and one scan of the columns behind ``valid``, and it states what is really there,
     also when tasks had to run twice.
     """
     kept = cleaned.agg(F.count("*")).scalar()
-    counted = raw.agg(F.count("*").alias("raw_rows"), F.count_if(~valid).alias("rejected_rows"))
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    counted = raw.agg(
+        F.count("*").alias("raw_rows"),
+        F.count_if(corrupt).alias("corrupt_rows"),
+        F.count_if(~valid).alias("rejected_rows"),
+    )
     surplus = F.col("raw_rows") - F.col("rejected_rows") - kept
     return counted.select("*", surplus.alias("surplus_rows"), kept.alias("clean_rows"))

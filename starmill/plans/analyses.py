@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.functions.buckets import (
@@ -14,7 +14,6 @@ from starmill.functions.buckets import (
     PRICE_LABELS,
     bucket_label,
     bucket_order,
-    median_value,
     percentage,
     rounded_mean,
     rounded_stddev,
@@ -22,7 +21,7 @@ from starmill.functions.buckets import (
 from starmill.functions.parsing import blank_to_default
 from starmill.functions.text import ASCII_WORD, STOP_WORDS, join_texts
 from starmill.operators.keywords import clean_tokens, rank_keywords
-from starmill.operators.moments import Moments
+from starmill.operators.moments import Moments, centred
 from starmill.operators.ranking import share_of_total, top_n
 from starmill.roles import REVIEW_ROLES, Roles
 
@@ -87,22 +86,36 @@ def votes_by_length(
     edges: Sequence[float] = LENGTH_EDGES,
     labels: Sequence[str] = LENGTH_LABELS,
 ) -> DataFrame:
-    """Votes per whole score and text length bucket."""
+    """Votes per whole score and text length bucket; scores beyond whole numbers' range
+    are left out."""
     score, votes, length = (F.col(c) for c in (roles.score, roles.votes, roles.length))
-    cells = (
-        reviews.where(score.isNotNull() & votes.isNotNull() & length.isNotNull())
-        .groupBy(
-            score.cast("int").alias("rating"),
-            bucket_order(length, edges).alias("review_length_bucket_order"),
-        )
-        .agg(
-            F.count("*").alias("review_count"),
-            rounded_mean(votes, 3).alias("avg_helpful_votes"),
-            median_value(roles.votes).cast("int").alias("median_helpful_votes"),
-            rounded_mean(length, 1).alias("avg_review_length"),
-        )
+    usable = reviews.select(
+        score.try_cast("int").alias("rating"),
+        bucket_order(length, edges).alias("review_length_bucket_order"),
+        votes.alias("_votes"),
+        length.alias("_length"),
+    ).where(F.col("rating").isNotNull() & F.col("_votes").isNotNull() & F.col("_length").isNotNull())
+    cell = ["rating", "review_length_bucket_order"]
+    # One row per distinct number of votes of a cell: these spill, an exact median in an
+    # aggregation buffer could not.
+    counted = usable.groupBy(*cell, "_votes").agg(
+        F.count("*").alias("_n"), F.sum("_length").alias("_length")
+    )
+    upward = Window.partitionBy(*cell).orderBy("_votes")
+    ranked = counted.withColumns(
+        {
+            "_until": F.sum("_n").over(upward),
+            "_all": F.sum("_n").over(Window.partitionBy(*cell)),
+        }
+    )
+    middle = F.min(F.when(F.col("_until") * 2 >= F.col("_all"), F.col("_votes")))
+    cells = ranked.groupBy(*cell).agg(
+        F.sum("_n").alias("review_count"),
+        F.round(F.sum(F.col("_votes") * F.col("_n")) / F.sum("_n"), 3).alias("avg_helpful_votes"),
+        middle.cast("int").alias("median_helpful_votes"),
+        F.round(F.sum("_length") / F.sum("_n"), 1).alias("avg_review_length"),
     )
-    label = bucket_label(F.col("review_length_bucket_order"), labels)
+    label = bucket_label(F.col("review_length_bucket_order"), labels, edges)
     return cells.select(
         "rating",
         "review_length_bucket_order",
@@ -141,8 +154,9 @@ def user_frequency(
     group = F.when(F.col("n") >= min_reviews, "high_frequency_user").otherwise("ordinary_user")
     weighted = F.sum(F.col("n").cast("double") * F.col("n"))
     extra = [F.round(F.avg("n"), 2).alias("reviews_per_user")] if reviews_per_user else []
+    grouped = centred(users.withColumn("user_group", group), "user_group", score)
     return (
-        users.groupBy(group.alias("user_group"))
+        grouped.groupBy("user_group")
         .agg(
             F.count("*").alias("user_count"),
             F.sum("n").alias("review_count"),
@@ -183,14 +197,15 @@ def price_buckets(
     priced = products.where(price.isNotNull() & (price >= 0)).select(roles.item, roles.price)
     items = _scores_per_item(reviews, roles, score).join(priced, roles.item)
     paid = F.sum(price * F.col(score.count_col))
-    buckets = items.groupBy(bucket_order(price, edges).alias("price_bucket_order")).agg(
+    items = items.withColumn("price_bucket_order", bucket_order(price, edges))
+    buckets = centred(items, "price_bucket_order", score).groupBy("price_bucket_order").agg(
         F.sum(score.count_col).alias("review_count"),
         F.count_distinct(roles.item).alias("product_count"),
         F.round(score.mean(), 3).alias("avg_rating"),
         F.round(score.stddev(), 3).alias("rating_stddev"),
         F.round(paid / F.sum(score.count_col), 2).alias("avg_price"),
     )
-    label = bucket_label(F.col("price_bucket_order"), labels)
+    label = bucket_label(F.col("price_bucket_order"), labels, edges)
     return buckets.select(
         "price_bucket_order",
         label.alias("price_bucket"),
@@ -214,9 +229,9 @@ def brand_ranking(
     branded = products.select(
         roles.item, blank_to_default(F.col(roles.brand), "Unknown").alias("brand")
     )
+    items = _scores_per_item(reviews, roles, score).join(branded, roles.item)
     brands = (
-        _scores_per_item(reviews, roles, score)
-        .join(branded, roles.item)
+        centred(items, "brand", score)
         .groupBy("brand")
         .agg(
             F.sum(score.count_col).alias("review_count"),
@@ -234,7 +249,6 @@ def keyword_ranking(
     roles: Roles = REVIEW_ROLES,
     k: int = TOP_KEYWORDS,
     stop_words: Sequence[str] = STOP_WORDS,
-    body_chars: int | None = None,
     word_chars: str = ASCII_WORD,
 ) -> DataFrame:
     """Most frequent keywords of good and of bad reviews; scores between are left out."""
@@ -245,7 +259,7 @@ def keyword_ranking(
     polar = reviews.where((score >= POSITIVE_SCORE) | (score <= NEGATIVE_SCORE))
     tokens = clean_tokens(
         polar.withColumn("sentiment_group", group),
-        join_texts(F.col(roles.headline), F.col(roles.body), body_chars),
+        join_texts(F.col(roles.headline), F.col(roles.body)),
         ["sentiment_group"],
         stop_words,
         word_chars=word_chars,

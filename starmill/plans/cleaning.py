@@ -14,11 +14,16 @@ REVIEW_KEY = ["reviewerID", "asin", "unix_time"]
 PRODUCT_KEY = ["asin"]
 
 
+def _finite(value: Column) -> Column:
+    """Null instead of NaN and infinities, which would enter every mean."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def _typed_reviews(raw: DataFrame) -> DataFrame:
     return raw.select(
         "reviewerID",
         "asin",
-        F.col("overall").try_cast("double").alias("rating"),
+        _finite(F.col("overall").try_cast("double")).alias("rating"),
         F.col("verified").try_cast("boolean").alias("verified"),
         "reviewText",
         "summary",
@@ -27,6 +32,12 @@ def _typed_reviews(raw: DataFrame) -> DataFrame:
     )
 
 
+def _valid_raw() -> Column:
+    score = F.col("overall").try_cast("double")
+    known = F.col("reviewerID").isNotNull() & F.col("asin").isNotNull()
+    return known & _finite(score).isNotNull()
+
+
 def _valid_review() -> Column:
     return (
         F.col("reviewerID").isNotNull() & F.col("asin").isNotNull() & F.col("rating").isNotNull()
@@ -71,11 +82,17 @@ def clean_products(raw: DataFrame, legacy: bool = False) -> DataFrame:
     )
 
 
-def review_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """How many raw reviews cleaning rejected, merged and kept."""
-    return clean_counts(_typed_reviews(raw), _valid_review(), cleaned)
+def review_counts(raw: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
+    """How many raw reviews were corrupt, rejected, merged and kept. Without the written
+    clean table its distinct keys are counted."""
+    typed = _typed_reviews(raw)
+    if cleaned is None:
+        cleaned = typed.where(_valid_review()).select(*REVIEW_KEY).distinct()
+    return clean_counts(raw, _valid_raw(), cleaned)
 
 
-def product_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """How many raw products cleaning rejected, merged and kept."""
+def product_counts(raw: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
+    """How many raw products were corrupt, rejected, merged and kept."""
+    if cleaned is None:
+        cleaned = raw.where(F.col("asin").isNotNull()).select(*PRODUCT_KEY).distinct()
     return clean_counts(raw, F.col("asin").isNotNull(), cleaned)

@@ -17,7 +17,7 @@ from starmill.operators.split import in_train
 from starmill.roles import REVIEW_ROLES, Roles
 from starmill.session import materialise
 from starmill.sources.readers import read_table
-from starmill.sources.writers import write_table
+from starmill.sources.writers import persisted, write_table
 
 LABEL = "is_helpful"
 TRAIN = "is_train"
@@ -63,9 +63,9 @@ def feature_frame(
         F.col(roles.year).cast("double").alias("review_year"),
         _as_number(F.col(roles.votes) > 0).alias(LABEL),
     )
-    # One row per item, as the lookup needs; clean products are unique already.
-    prices = products.groupBy(F.col(roles.item).alias("_item")).agg(
-        F.min(F.col(roles.price).cast("double")).alias("_price")
+    # Clean products hold one row per item.
+    prices = products.select(
+        F.col(roles.item).alias("_item"), F.col(roles.price).cast("double").alias("_price")
     )
     return lookup_join(usable, prices, "_item", "left").select(
         *[F.col(f"key_{i}").alias(k) for i, k in enumerate(keys)],
@@ -127,9 +127,11 @@ class TrainedModel:
         return evaluation_summary(self.predictions())
 
     def metrics(self) -> DataFrame:
-        """Metric names and values as text, in the published order."""
-        predictions = self.predictions()
-        seen = self.summary().first()
+        """Metric names and values as text, in the published order. The test rows are
+        scored once. Fixed values: the names and their order."""
+        with persisted(self.predictions().select("rawPrediction", "prediction", LABEL)) as scored:
+            seen = evaluation_summary(scored).first()
+            roc, precision = (area_under(scored, f"areaUnder{kind}") for kind in ("ROC", "PR"))
         strategy = FILLED_WITH_ZERO if self.price_fill is None else FILLED_WITH_MEDIAN
         rows = [
             ("model", "logistic_regression"),
@@ -139,8 +141,8 @@ class TrainedModel:
             ("train_rows", str(self.train.count())),
             ("test_rows", str(self.test.count())),
             ("evaluated_rows", str(seen["evaluated_rows"])),
-            ("area_under_roc", f"{area_under(predictions, 'areaUnderROC'):.6f}"),
-            ("area_under_pr", f"{area_under(predictions, 'areaUnderPR'):.6f}"),
+            ("area_under_roc", f"{roc:.6f}"),
+            ("area_under_pr", f"{precision:.6f}"),
             ("accuracy", _fixed(seen["accuracy"])),
             ("test_positive_label_rate", _fixed(seen["positive_label_rate"])),
             ("test_positive_prediction_rate", _fixed(seen["positive_prediction_rate"])),

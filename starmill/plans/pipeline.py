@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,10 +39,9 @@ PRODUCT_SAMPLE = ["asin", "title", "brand", "price"]
 
 @dataclass(frozen=True)
 class Options:
-    """``legacy_parsing`` and ``body_chars=2000`` together reproduce the published runs."""
+    """``legacy_parsing`` reproduces the published parsing of prices and brands."""
 
     legacy_parsing: bool = False
-    body_chars: int | None = None
 
 
 @dataclass(frozen=True)
@@ -80,8 +80,8 @@ def profile(raw: dict[str, DataFrame], layout: Layout) -> None:
     """Schema and row count of every raw table, and a few rows to look at."""
     for name, df in raw.items():
         columns = PRODUCT_SAMPLE if name == PRODUCTS else REVIEW_SAMPLE
-        write_report(profile_table(df, name), layout.report(f"00_profile_{name}"))
-        write_report(sample_rows(df, columns), layout.report(f"00_sample_{name}"))
+        write_report(profile_table(df, name), layout.report(f"00_profile_{name}"), one_file=True)
+        write_report(sample_rows(df, columns), layout.report(f"00_sample_{name}"), one_file=True)
 
 
 def clean(raw: dict[str, DataFrame], layout: Layout, options: Options) -> None:
@@ -96,7 +96,7 @@ def clean(raw: dict[str, DataFrame], layout: Layout, options: Options) -> None:
         )
         write_table(cleaned, layout.clean(name))
         written = read_table(df.sparkSession, layout.clean(name))
-        write_report(count(df, written), layout.report(f"00_counts_{name}"))
+        write_report(count(df, written), layout.report(f"00_counts_{name}"), one_file=True)
 
 
 def open_clean(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -118,7 +118,7 @@ def reports(tables: dict[str, DataFrame], options: Options) -> dict[str, DataFra
         USERS: analyses.user_frequency(core),
         PRICES: analyses.price_buckets(reviews, products),
         BRANDS: analyses.brand_ranking(reviews, products),
-        KEYWORDS: analyses.keyword_ranking(reviews, body_chars=options.body_chars),
+        KEYWORDS: analyses.keyword_ranking(reviews),
     }
 
 
@@ -138,6 +138,9 @@ def chart_feeds(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+STAGES = ("land", "profile", "clean", "reports", "charts", "model")
+
+
 def run(
     spark: SparkSession,
     reviews: str,
@@ -145,26 +148,39 @@ def run(
     products: str,
     out: str,
     options: Options = Options(),
+    stages: Sequence[str] = STAGES,
 ) -> Layout:
-    """Every stage in order; stages hand over through tables below ``out``."""
+    """The named stages in order. Each reads the tables that earlier ones left below
+    ``out``, so a run can be resumed with the stages that are missing."""
+    if unknown := set(stages) - set(STAGES):
+        raise ValueError(f"no such stages: {sorted(unknown)}")
     layout = Layout(out.rstrip("/"))
-    raw = land(spark, {REVIEWS: reviews, CORE_REVIEWS: reviews5, PRODUCTS: products}, layout)
-    profile(raw, layout)
-    clean(raw, layout, options)
-    tables = open_clean(spark, layout)
-    for name, df in reports(tables, options).items():
-        write_report(df, layout.report(name), layout.result(name))
-    results = {
-        name: read_table(spark, layout.result(name))
-        for name in (TREND, DISTRIBUTION, VERIFIED, VOTES, USERS, PRICES, BRANDS, KEYWORDS)
-    }
-    for name, df in chart_feeds(results).items():
-        write_table(df.coalesce(1), layout.chart(name))
-    trained = helpful_model.train_model(
-        tables[REVIEWS], tables[PRODUCTS], table_path=layout.clean(FEATURES)
-    )
-    write_report(trained.metrics(), layout.report(METRICS))
-    write_report(trained.coefficients(), layout.report(COEFFICIENTS))
+    paths = {REVIEWS: reviews, CORE_REVIEWS: reviews5, PRODUCTS: products}
+    if "land" in stages:
+        land(spark, paths, layout)
+    raw = {name: read_table(spark, layout.raw(name)) for name in paths} if (
+        {"profile", "clean"} & set(stages)
+    ) else {}
+    if "profile" in stages:
+        profile(raw, layout)
+    if "clean" in stages:
+        clean(raw, layout, options)
+    if "reports" in stages:
+        # Years, scores, buckets and first rows of rankings: bounded by definition.
+        for name, df in reports(open_clean(spark, layout), options).items():
+            write_report(df, layout.report(name), layout.result(name), one_file=True)
+    if "charts" in stages:
+        names = (TREND, DISTRIBUTION, VERIFIED, VOTES, USERS, PRICES, BRANDS, KEYWORDS)
+        results = {name: read_table(spark, layout.result(name)) for name in names}
+        for name, df in chart_feeds(results).items():
+            write_table(df.coalesce(1), layout.chart(name))
+    if "model" in stages:
+        tables = open_clean(spark, layout)
+        trained = helpful_model.train_model(
+            tables[REVIEWS], tables[PRODUCTS], table_path=layout.clean(FEATURES)
+        )
+        write_report(trained.metrics(), layout.report(METRICS), one_file=True)
+        write_report(trained.coefficients(), layout.report(COEFFICIENTS), one_file=True)
     return layout
 
 
@@ -175,11 +191,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--products", required=True, help="raw product metadata, JSON lines")
     parser.add_argument("--out", required=True, help="root folder for all tables")
     parser.add_argument("--legacy-parsing", action="store_true", help="published price and brand parsing")
-    parser.add_argument("--body-chars", type=int, help="use only the start of review bodies")
+    parser.add_argument("--stages", default=",".join(STAGES), help="stages to run, by comma")
     args = parser.parse_args(argv)
     spark = build_session("starmill")
-    options = Options(args.legacy_parsing, args.body_chars)
-    run(spark, args.reviews, args.reviews5, args.products, args.out, options)
+    options, stages = Options(args.legacy_parsing), args.stages.split(",")
+    run(spark, args.reviews, args.reviews5, args.products, args.out, options, stages)
     spark.stop()
 
 

@@ -8,10 +8,6 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
-# Reports up to this size become a single CSV file; a larger result is written in
-# parallel, whole, rather than squeezed through one task.
-ONE_FILE_ROWS = 100_000
-
 
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
@@ -27,11 +23,16 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_report(df: DataFrame, csv_path: str, table_path: str | None = None) -> None:
-    """A result as CSV with header, and as Parquet too if asked, computed once."""
+def write_report(
+    df: DataFrame, csv_path: str, table_path: str | None = None, one_file: bool = False
+) -> None:
+    """A result as CSV with header, and as Parquet too if asked, computed once.
+
+    ``one_file`` is for results that their definition bounds, such as a ranking's first
+    rows; anything else is written in parallel.
+    """
     with persisted(df) as result:
-        small = result.count() <= ONE_FILE_ROWS
-        out = result.coalesce(1) if small else result
+        out = result.coalesce(1) if one_file else result
         out.write.mode("overwrite").option("header", True).csv(csv_path)
         if table_path is not None:
             out.write.mode("overwrite").parquet(table_path)

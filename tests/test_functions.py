@@ -93,11 +93,9 @@ def test_split_words_keeps_empty_edges(spark):
     assert values(spark, split, ["Don't!"]) == [["don", "t", ""]]
 
 
-def test_body_cap_is_optional(spark):
+def test_headline_and_body_are_joined(spark):
     joined = text.join_texts(F.lit("head"), F.col("x"))
-    capped = text.join_texts(F.lit("head"), F.col("x"), body_chars=2)
     assert values(spark, joined, ["body", None]) == ["head body", "head "]
-    assert values(spark, capped, ["body", None]) == ["head bo", "head "]
 
 
 def test_keywords_are_no_numbers_and_no_stop_words(spark):

@@ -157,15 +157,14 @@ def test_published_parsing_on_request(spark, raw_paths, tmp_path):
 def test_reports_are_one_csv_and_one_parquet_file(spark, tmp_path):
     df = spark.range(100).repartition(7).selectExpr("id", "id * 2 AS twice")
     csv, table = str(tmp_path / "csv"), str(tmp_path / "table")
-    writers.write_report(df, csv, table)
+    writers.write_report(df, csv, table, one_file=True)
     assert len(list((tmp_path / "csv").glob("*.csv"))) == 1
     assert readers.read_result_csv(spark, csv, "id bigint, twice bigint").count() == 100
     assert readers.read_table(spark, table).count() == 100
     assert not df.is_cached
 
 
-def test_large_results_stay_parallel_and_whole(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(writers, "ONE_FILE_ROWS", 10)
+def test_other_results_stay_parallel_and_whole(spark, tmp_path):
     writers.write_report(spark.range(100).repartition(7), str(tmp_path / "csv"))
     assert len(list((tmp_path / "csv").glob("*.csv"))) > 1
     assert readers.read_result_csv(spark, str(tmp_path / "csv")).count() == 100
@@ -205,9 +204,16 @@ def test_a_cluster_must_name_its_shared_folder():
 def test_command_line_arguments(raw_paths, tmp_path, monkeypatch, spark):
     seen = {}
     monkeypatch.setattr(pipeline, "build_session", lambda name: type("S", (), {"stop": lambda s: None})())
-    monkeypatch.setattr(pipeline, "run", lambda *args: seen.update(options=args[-1], out=args[-2]))
+    monkeypatch.setattr(pipeline, "run", lambda *args: seen.update(stages=args[-1], options=args[-2], out=args[-3]))
     pipeline.main(
         ["--reviews", "r", "--reviews5", "r5", "--products", "p", "--out", "o",
-         "--legacy-parsing", "--body-chars", "2000"]
+         "--legacy-parsing", "--stages", "reports,charts"]
     )
-    assert seen == {"options": pipeline.Options(True, 2000), "out": "o"}
+    assert seen == {
+        "options": pipeline.Options(True), "out": "o", "stages": ["reports", "charts"]
+    }
+
+
+def test_unknown_stages_are_refused(spark):
+    with pytest.raises(ValueError, match="no such stages"):
+        pipeline.run(spark, "r", "r5", "p", "o", stages=["polish"])
