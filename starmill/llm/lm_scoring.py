@@ -219,12 +219,13 @@ def score_documents(
     """
     session = docs.sparkSession
     columns = [f"n{m}" for m in range(len(model.shares))]
-    often = words.orderBy(F.desc("n"), "word").limit(head_words).collect()
+    # The end comes first: every text has one, however small the head.
+    often = words.orderBy(F.length("word") > 0, F.desc("n"), "word").limit(head_words).collect()
     head = [bytes(r["word"]) for r in often]
     counts = np.array([[r[c] for c in columns] for r in often], float).reshape(-1, len(columns))
     base = model.base(np.array([r["n"] for r in often], float))
     table = np.column_stack([base, model.scores(head, counts, vocabulary.trie)])
-    if END not in head:  # nothing was learned, or only from very few words
+    if END not in head:  # nothing was learned
         end = model.scores([END], np.zeros((1, len(columns))), vocabulary.trie)
         head, table = [*head, END], np.vstack([table, [model.base(np.zeros(1))[0], *end[0]]])
         known_from = len(head) - 1
