@@ -17,7 +17,7 @@ from starmill.llm.pieces import Trie, Vocabulary, expected_counts, marginals
 #: Languages with scores of their own; all others share one more set.
 MAX_MODELS = 12
 #: The most frequent words, whose scores every task holds; the others are joined.
-HEAD_WORDS = 250_000
+HEAD_WORDS = 100_000
 #: The most frequent words that start the fit of the scores, and its steps over them.
 #: One more step over all words of all documents follows.
 FIRST_WORDS, FIRST_STEPS = 30_000, 8
@@ -220,10 +220,10 @@ def score_documents(
     session = docs.sparkSession
     columns = [f"n{m}" for m in range(len(model.shares))]
     # The end comes first: every text has one, however small the head.
-    often = words.orderBy(F.length("word") > 0, F.desc("n"), "word").limit(head_words).collect()
-    head = [bytes(r["word"]) for r in often]
-    counts = np.array([[r[c] for c in columns] for r in often], float).reshape(-1, len(columns))
-    base = model.base(np.array([r["n"] for r in often], float))
+    often = words.orderBy(F.length("word") > 0, F.desc("n"), "word").limit(head_words).toArrow()
+    head = often.column("word").to_pylist()
+    counts = np.column_stack([often.column(c).to_numpy() for c in columns]).astype(float)
+    base = model.base(often.column("n").to_numpy().astype(float))
     table = np.column_stack([base, model.scores(head, counts, vocabulary.trie)])
     if END not in head:  # nothing was learned
         end = model.scores([END], np.zeros((1, len(columns))), vocabulary.trie)
