@@ -19,6 +19,7 @@ from starmill.catalog.bindings import (
 from starmill.catalog.cleaning import CLEAN_REVIEWS
 from starmill.catalog.bindings import raw_reviews, table
 from starmill.catalog.registry import query
+from starmill.catalog.scalars import bucket_sql, quoted
 from starmill.functions.buckets import LENGTH_EDGES, LENGTH_LABELS
 from starmill.operators.moments import Moments, centred
 from starmill.plans.cleaning import clean_reviews
@@ -65,17 +66,6 @@ def verified_compare(spark, sf_dir):
     return analyses.verified_compare(line_reviews(spark, sf_dir))
 
 
-def bucket_sql(value: str, names) -> str:
-    """A CASE over edges, the last name being open."""
-    edges, results = names
-    cases = " ".join(f"WHEN {value} < {e} THEN {r}" for e, r in zip(edges, results))
-    return f"CASE {cases} ELSE {results[len(edges)]} END"
-
-
-def quoted(labels) -> list[str]:
-    return [f"'{label}'" for label in labels]
-
-
 def votes_sql(reviews: str) -> str:
     numbers = range(1, len(LENGTH_LABELS) + 1)
     return f"""

@@ -32,6 +32,17 @@ from starmill.operators.profile import profile_table
 from starmill.sources.readers import read_table, register_views
 
 
+def bucket_sql(value: str, names) -> str:
+    """A CASE over edges, the last name being open."""
+    edges, results = names
+    cases = " ".join(f"WHEN {value} < {e} THEN {r}" for e, r in zip(edges, results))
+    return f"CASE {cases} ELSE {results[len(edges)]} END"
+
+
+def quoted(labels) -> list[str]:
+    return [f"'{label}'" for label in labels]
+
+
 @query(
     "scan_parquet",
     """
@@ -105,11 +116,7 @@ def project_cast(spark, sf_dir):
     SELECT rating, helpful_votes,
            CAST(CASE WHEN helpful_votes < 2 THEN 1 WHEN helpful_votes < 4 THEN 2
                      WHEN helpful_votes >= 4 THEN 3 END AS INTEGER) AS votes_order,
-           CASE WHEN review_length < 100 THEN '0-99 chars'
-                WHEN review_length < 300 THEN '100-299 chars'
-                WHEN review_length < 700 THEN '300-699 chars'
-                WHEN review_length < 1500 THEN '700-1499 chars'
-                ELSE '1500+ chars' END AS length_bucket
+           {bucket_sql("review_length", (LENGTH_EDGES, quoted(LENGTH_LABELS)))} AS length_bucket
     FROM ({LINE_REVIEWS})
     """,
 )
@@ -118,9 +125,9 @@ def bucketize(spark, sf_dir):
         "rating",
         "helpful_votes",
         bucket_order(F.col("helpful_votes"), (2, 4)).alias("votes_order"),
-        bucket_label(bucket_order(F.col("review_length"), LENGTH_EDGES), LENGTH_LABELS).alias(
-            "length_bucket"
-        ),
+        bucket_label(
+            bucket_order(F.col("review_length"), LENGTH_EDGES), LENGTH_LABELS, LENGTH_EDGES
+        ).alias("length_bucket"),
     )
 
 

@@ -21,7 +21,7 @@ from starmill.functions.buckets import (
 from starmill.functions.parsing import blank_to_default
 from starmill.functions.text import ASCII_WORD, STOP_WORDS, join_texts
 from starmill.operators.keywords import clean_tokens, rank_keywords
-from starmill.operators.moments import Moments, centred
+from starmill.operators.moments import Moments, overall_mean
 from starmill.operators.ranking import share_of_total, top_n
 from starmill.roles import REVIEW_ROLES, Roles
 
@@ -154,15 +154,15 @@ def user_frequency(
     group = F.when(F.col("n") >= min_reviews, "high_frequency_user").otherwise("ordinary_user")
     weighted = F.sum(F.col("n").cast("double") * F.col("n"))
     extra = [F.round(F.avg("n"), 2).alias("reviews_per_user")] if reviews_per_user else []
-    grouped = centred(users.withColumn("user_group", group), "user_group", score)
+    centre = overall_mean(users, score)
     return (
-        grouped.groupBy("user_group")
+        users.groupBy(group.alias("user_group"))
         .agg(
             F.count("*").alias("user_count"),
             F.sum("n").alias("review_count"),
             F.round(weighted / F.sum("n"), 2).alias("avg_reviews_per_user"),
             F.round(score.mean(), 3).alias("avg_rating"),
-            F.round(score.stddev(), 3).alias("rating_stddev"),
+            F.round(score.stddev(centre), 3).alias("rating_stddev"),
             F.round(votes.mean(), 3).alias("avg_helpful_votes"),
             F.round(length.mean(), 1).alias("avg_review_length"),
             percentage(F.sum("positive"), F.sum("n")).alias("positive_review_pct"),
@@ -195,14 +195,15 @@ def price_buckets(
     """Reviews, products and scores per price bucket; unpriced products are left out."""
     score, price = Moments("score"), F.col(roles.price)
     priced = products.where(price.isNotNull() & (price >= 0)).select(roles.item, roles.price)
-    items = _scores_per_item(reviews, roles, score).join(priced, roles.item)
+    collapsed = _scores_per_item(reviews, roles, score)
+    centre = overall_mean(collapsed, score)
+    items = collapsed.join(priced, roles.item)
     paid = F.sum(price * F.col(score.count_col))
-    items = items.withColumn("price_bucket_order", bucket_order(price, edges))
-    buckets = centred(items, "price_bucket_order", score).groupBy("price_bucket_order").agg(
+    buckets = items.groupBy(bucket_order(price, edges).alias("price_bucket_order")).agg(
         F.sum(score.count_col).alias("review_count"),
         F.count_distinct(roles.item).alias("product_count"),
         F.round(score.mean(), 3).alias("avg_rating"),
-        F.round(score.stddev(), 3).alias("rating_stddev"),
+        F.round(score.stddev(centre), 3).alias("rating_stddev"),
         F.round(paid / F.sum(score.count_col), 2).alias("avg_price"),
     )
     label = bucket_label(F.col("price_bucket_order"), labels, edges)
@@ -229,15 +230,16 @@ def brand_ranking(
     branded = products.select(
         roles.item, blank_to_default(F.col(roles.brand), "Unknown").alias("brand")
     )
-    items = _scores_per_item(reviews, roles, score).join(branded, roles.item)
+    collapsed = _scores_per_item(reviews, roles, score)
+    centre = overall_mean(collapsed, score)
     brands = (
-        centred(items, "brand", score)
+        collapsed.join(branded, roles.item)
         .groupBy("brand")
         .agg(
             F.sum(score.count_col).alias("review_count"),
             F.count_distinct(roles.item).alias("product_count"),
             F.round(score.mean(), 3).alias("avg_rating"),
-            F.round(score.stddev(), 3).alias("rating_stddev"),
+            F.round(score.stddev(centre), 3).alias("rating_stddev"),
         )
         .where(F.col("review_count") >= min_reviews)
     )

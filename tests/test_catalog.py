@@ -20,7 +20,9 @@ def duck(sf_dir):
 
 
 def test_entry_points(spark, sf_dir):
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     if entry_points.SMOKE_DIR == sf_dir:
         assert entry_points.entry(spark).count() > 0

@@ -122,4 +122,4 @@ def test_clean_products(spark):
     ]
     legacy = cleaning.clean_products(raw, legacy=True).orderBy("asin")
     assert rows(legacy.select("brand", "price")) == [("Zenith", 1.0), ("BaToys", 5.0)]
-    assert rows(cleaning.product_counts(raw, clean)) == [(4, 1, 1, 2)]
+    assert rows(cleaning.product_counts(raw, clean)) == [(4, 0, 1, 1, 2)]

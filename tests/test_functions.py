@@ -113,7 +113,7 @@ def test_buckets_end_before_their_edge_and_keep_null(spark):
     order = buckets.bucket_order(F.col("x"), buckets.LENGTH_EDGES)
     inputs = [0, 99, 100, 1499, 1500, None]
     assert values(spark, order, inputs, "int") == [1, 1, 2, 4, 5, None]
-    label = buckets.bucket_label(order, buckets.LENGTH_LABELS)
+    label = buckets.bucket_label(order, buckets.LENGTH_LABELS, buckets.LENGTH_EDGES)
     assert values(spark, label, inputs, "int")[::5] == ["0-99 chars", None]
 
 

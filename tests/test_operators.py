@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmill.operators.dedup import dedup_by_key
 from starmill.operators.joins import hot_keys, lookup_join, with_group_size
 from starmill.operators.keywords import clean_tokens, rank_keywords
-from starmill.operators.moments import Moments, centred
+from starmill.operators.moments import Moments, centred, overall_mean
 from starmill.operators.profile import clean_counts, profile_table, sample_rows
 from starmill.operators.ranking import share_of_total, top_k_per_group, top_n
 from starmill.operators.split import in_train
@@ -142,6 +142,30 @@ def test_moments_survive_a_large_offset(spark):
     assert ours == pytest.approx(exact, rel=1e-12)
 
 
+@pytest.mark.parametrize("offset", [0, 3, 1e6])
+def test_moments_around_one_centre(spark, offset):
+    """One scalar centre for all groups gives each group's own deviation."""
+    df = spark.range(900).select(
+        (F.col("id") % 3).alias("g"), (F.col("id") % 50).alias("k"),
+        (F.col("id") * 7 % 5 + F.col("id") % 3 + offset).cast("double").alias("x"),
+    )
+    m = Moments("x")
+    collapsed = df.groupBy("g", "k").agg(*m.of("x"))
+    ours = collapsed.groupBy("g").agg(m.stddev(overall_mean(collapsed, m)).alias("s")).orderBy("g")
+    exact = df.groupBy("g").agg(F.stddev_samp(F.col("x") - offset).alias("s")).orderBy("g")
+    assert [r[1] for r in rows(ours)] == pytest.approx([r[1] for r in rows(exact)], rel=1e-9)
+    assert "Join" not in plan(ours)
+
+
+def test_a_group_without_spread_around_one_centre(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)] * 3 + [(1, "b", 2.0), (2, "c", 5.0)], "g int, k string, x double")
+    m = Moments("x")
+    collapsed = df.groupBy("g", "k").agg(*m.of("x"))
+    ours = collapsed.groupBy("g").agg(m.stddev(overall_mean(collapsed, m)).alias("s")).orderBy("g")
+    assert rows(ours)[1] == (2, None)
+    assert rows(ours)[0][1] == pytest.approx(0.0, abs=1e-7)
+
+
 def test_moments_of_one_row_and_of_none(spark):
     df = spark.createDataFrame([(1, 4.0), (2, None)], "k int, x double")
     m = Moments("x")
