@@ -120,17 +120,17 @@ def clean_counts(spark, sf_dir):
     )
 
 
-@query(
-    "dedup_by_key",
-    """
+DEDUP_LINES = """
     SELECT * EXCLUDE (rn)
     FROM (SELECT *, row_number() OVER (
-                        PARTITION BY l_orderkey, l_linenumber
-                        ORDER BY md5(concat_ws('|', l_returnflag, l_linestatus)), l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
-                                 l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
-          FROM lineitem)
+                    PARTITION BY l_orderkey, l_linenumber
+                    ORDER BY md5(concat_ws('|', l_returnflag, l_linestatus)), l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+                             l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
+      FROM lineitem)
     WHERE rn = 1
-    """,
-)
+    """
+
+
+@query("dedup_by_key", DEDUP_LINES)
 def dedup_lines(spark, sf_dir):
     return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

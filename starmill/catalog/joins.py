@@ -13,8 +13,16 @@ from starmill.catalog.bindings import (
     part_products,
     table,
 )
+from starmill.catalog.cleaning import DEDUP_LINES
 from starmill.catalog.registry import query
 from starmill.operators.joins import lookup_join, with_group_size
+from starmill.sources.bucketed import (
+    dedup_landed,
+    join_landed,
+    land_facts,
+    land_lookup,
+    plan_buckets,
+)
 
 
 @query(
@@ -111,3 +119,48 @@ def join_left_split(spark, sf_dir):
 def join_own_total_skewed(spark, sf_dir):
     sized = with_group_size(_skewed(spark, sf_dir), "k", "n", parts=50, min_rows=1)
     return sized.select("o_orderkey", "k", "n")
+
+
+# Order lines and orders laid side by side by order, the lines by ship year too.
+def _landed(spark, sf_dir, **limits):
+    lines = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    layout = plan_buckets(lines, "l_orderkey", ["l_orderkey", "l_linenumber"], **limits)
+    return land_facts(lines, layout, ("ship_year",)), layout
+
+
+@query("dedup_bucketed", DEDUP_LINES)
+def dedup_bucketed(spark, sf_dir):
+    lines, layout = _landed(spark, sf_dir)
+    return dedup_landed(lines, layout).drop("ship_year")
+
+
+@query("dedup_bucketed_hot", DEDUP_LINES)
+def dedup_bucketed_hot(spark, sf_dir):
+    """The same with limits so low that many orders are dealt over parts."""
+    lines, layout = _landed(spark, sf_dir, parts=50_000, min_rows=3)
+    return dedup_landed(lines, layout).drop("ship_year")
+
+
+LINES_OF_ORDERS = """
+    SELECT l_orderkey, l_linenumber, l_quantity, o_orderpriority
+    FROM lineitem {how} JOIN (SELECT o_orderkey AS l_orderkey, o_orderpriority FROM orders
+                              WHERE o_totalprice >= 150000) USING (l_orderkey)
+"""
+
+
+def _lines_of_orders(spark, sf_dir, how, **limits):
+    lines, layout = _landed(spark, sf_dir, **limits)
+    dear = table(spark, sf_dir, "orders").where("o_totalprice >= 150000")
+    orders = land_lookup(dear.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"), layout)
+    joined = join_landed(lines, orders, layout, how)
+    return joined.select("l_orderkey", "l_linenumber", "l_quantity", "o_orderpriority")
+
+
+@query("join_bucketed", LINES_OF_ORDERS.format(how="INNER"))
+def join_bucketed(spark, sf_dir):
+    return _lines_of_orders(spark, sf_dir, "inner")
+
+
+@query("join_left_bucketed", LINES_OF_ORDERS.format(how="LEFT"))
+def join_left_bucketed(spark, sf_dir):
+    return _lines_of_orders(spark, sf_dir, "left", parts=100_000, min_rows=8)

@@ -43,11 +43,9 @@ def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage for jobs that pass over the same rows many times: a lost executor
-    then costs a re-read of some files, not the joins that produced them. Without a
-    shared folder the rows are persisted instead; the caller lets go of them.
+    then costs a re-read of some files, not the joins that produced them. Nothing stays
+    in the executors' memory.
     """
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.persist()
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
