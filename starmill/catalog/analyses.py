@@ -211,3 +211,8 @@ KEYWORD_RANKING = ranked(cleaned(RATED_TEXTS, "sentiment_group"), "sentiment_gro
 @query("keyword_ranking", KEYWORD_RANKING)
 def keyword_ranking(spark, sf_dir):
     return analyses.keyword_ranking(document_reviews(spark, sf_dir))
+
+
+@query("keyword_heavy_hitters", KEYWORD_RANKING)
+def keyword_heavy_hitters(spark, sf_dir):
+    return analyses.keyword_ranking(document_reviews(spark, sf_dir), heavy=True)

@@ -12,6 +12,7 @@ from starmill.catalog.bindings import (
     part_products,
 )
 from starmill.catalog.registry import query
+from starmill.operators.curves import areas_under_curves
 from starmill.operators.split import in_train
 from starmill.plans import helpful_model
 from starmill.plans.helpful_model import FEATURES, LABEL
@@ -94,6 +95,89 @@ def ml_assemble(spark, sf_dir):
     return helpful_model.assemble(_features(spark, sf_dir)).select(*KEYS, LABEL, *positions)
 
 
+AREAS = f"""
+    WITH thresholds AS (
+        SELECT review_length AS score, COUNT(*) FILTER (WHERE is_helpful > 0) AS pos,
+               COUNT(*) FILTER (WHERE is_helpful = 0) AS neg
+        FROM ({ML_FEATURES}) GROUP BY review_length
+    ), curve AS (
+        SELECT *, SUM(pos) OVER down AS tp, SUM(neg) OVER down AS fp,
+               SUM(pos) OVER () AS p, SUM(neg) OVER () AS n
+        FROM thresholds WINDOW down AS (ORDER BY score DESC)
+    ), points AS (
+        SELECT *, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+               lag(CAST(tp AS DOUBLE) / (tp + fp)) OVER (ORDER BY score DESC) AS earlier
+        FROM curve
+    )
+    SELECT CAST(MAX(p + n) AS BIGINT) AS evaluated_rows, CAST(MAX(p) AS BIGINT) AS positives,
+           ROUND(SUM(neg * (tp - pos / 2.0::DOUBLE)) / MAX(CAST(p AS DOUBLE) * n), 9) AS area_under_roc,
+           ROUND(SUM(pos * (precision + COALESCE(earlier, precision)) / 2) / MAX(p), 9) AS area_under_pr
+    FROM points
+"""
+
+
+@query("ml_areas", AREAS)
+def ml_areas(spark, sf_dir):
+    """How well the length alone tells helpful reviews from others."""
+    areas = areas_under_curves(_features(spark, sf_dir), "review_length", LABEL)
+    rounded = [F.round(c, 9).alias(c) for c in ("area_under_roc", "area_under_pr")]
+    return areas.select("evaluated_rows", "positives", *rounded)
+
+
+# Any coefficients will do: the gradient there is as good a test as at the fit.
+STATED_WEIGHTS = {
+    "rating": -0.3, "verified_numeric": -0.5, "review_length": 0.001, "review_year": -0.01, "price": 0.002
+}
+STATED_INTERCEPT = 20.0
+GRADIENT_TOLERANCE = 1e-3
+MARGIN = " + ".join(f"({w}) * {c}" for c, w in STATED_WEIGHTS.items())
+SLOPES = " UNION ALL ".join(
+    f"""
+    SELECT '{c}' AS feature,
+           ROUND((AVG(off * {c}) - AVG(off) * AVG({c})) / STDDEV_SAMP({c})
+                 + 0.01 * ({w}) * STDDEV_SAMP({c}), 8) AS gradient
+    FROM errors
+    """
+    for c, w in STATED_WEIGHTS.items()
+)
+
+
+@query(
+    "ml_gradient",
+    f"""
+    WITH errors AS (
+        SELECT *, 1 / (1 + exp(-({MARGIN} + {STATED_INTERCEPT}))) - is_helpful AS off
+        FROM ({ML_FEATURES}) WHERE {IS_TRAIN.strip()} = 1
+    )
+    SELECT 'intercept' AS feature, ROUND(AVG(off), 8) AS gradient FROM errors UNION ALL {SLOPES}
+    """,
+)
+def ml_gradient(spark, sf_dir):
+    """The gradient of the regularised likelihood at stated coefficients."""
+    train = helpful_model.with_split(_features(spark, sf_dir), KEYS).where("is_train = 1")
+    weights = [STATED_WEIGHTS[c] for c in FEATURES]
+    entries = helpful_model.likelihood_gradient(train, weights, STATED_INTERCEPT)
+    return entries.select("feature", F.round("gradient", 8).alias("gradient"))
+
+
+@query(
+    "ml_gradient_check",
+    f"""
+    SELECT COUNT(*) AS train_rows, {GRADIENT_TOLERANCE}::DOUBLE AS tolerance, true AS optimal
+    FROM ({ML_FEATURES}) WHERE {IS_TRAIN.strip()} = 1
+    """,
+)
+def ml_gradient_check(spark, sf_dir):
+    """The fit is where the gradient vanishes: its norm there is below the tolerance."""
+    trained = _trained(spark, sf_dir)
+    norm = trained.gradient().agg(F.sqrt(F.sum(F.col("gradient") * F.col("gradient")))).scalar()
+    return trained.train.agg(F.count("*").alias("train_rows")).select(
+        "train_rows",
+        F.lit(GRADIENT_TOLERANCE).alias("tolerance"),
+        (norm < GRADIENT_TOLERANCE).alias("optimal"),
+    )
+
+
 @query("ml_fit")
 def ml_fit(spark, sf_dir):
     trained = _trained(spark, sf_dir)

@@ -38,6 +38,11 @@ def rank_keywords(tokens: DataFrame, group: str, token: str = "token", k: int =
         F.count("*").alias("keyword_count")
     )
     totals = counts.groupBy(group).agg(F.sum("keyword_count").alias("_total"))
+    return rank_counts(counts, totals, group, k)
+
+
+def rank_counts(counts: DataFrame, totals: DataFrame, group: str, k: int) -> DataFrame:
+    """Ranks and shares from counts per (group, keyword) and the totals of the groups."""
     order = [F.desc("keyword_count"), F.asc("keyword")]
     top = top_k_per_group(counts, [group], order, k, "keyword_rank")
     per_10k = scaled_ratio(F.col("keyword_count"), F.col("_total"), "10000.0")

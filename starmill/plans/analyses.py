@@ -20,6 +20,7 @@ from starmill.functions.buckets import (
 )
 from starmill.functions.parsing import blank_to_default
 from starmill.functions.text import ASCII_WORD, STOP_WORDS, join_texts
+from starmill.operators.heavy_hitters import rank_heavy_keywords
 from starmill.operators.keywords import clean_tokens, rank_keywords
 from starmill.operators.moments import Moments, overall_mean
 from starmill.operators.ranking import share_of_total, top_n
@@ -252,8 +253,13 @@ def keyword_ranking(
     k: int = TOP_KEYWORDS,
     stop_words: Sequence[str] = STOP_WORDS,
     word_chars: str = ASCII_WORD,
+    heavy: bool = False,
 ) -> DataFrame:
-    """Most frequent keywords of good and of bad reviews; scores between are left out."""
+    """Most frequent keywords of good and of bad reviews; scores between are left out.
+
+    ``heavy`` gives the same rows without shuffling the vocabulary, for two passes over
+    the texts.
+    """
     score = F.col(roles.score)
     group = F.when(score >= POSITIVE_SCORE, "high_rating").when(
         score <= NEGATIVE_SCORE, "low_rating"
@@ -266,4 +272,5 @@ def keyword_ranking(
         stop_words,
         word_chars=word_chars,
     )
-    return rank_keywords(tokens, "sentiment_group", k=k)
+    rank = rank_heavy_keywords if heavy else rank_keywords
+    return rank(tokens, "sentiment_group", k=k)

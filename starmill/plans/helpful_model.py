@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.operators.curves import areas_under_curves
 from starmill.operators.joins import lookup_join
 from starmill.operators.split import in_train
 from starmill.roles import REVIEW_ROLES, Roles
@@ -123,15 +123,23 @@ class TrainedModel:
             *keys, LABEL, positive.alias("probability"), "prediction"
         )
 
+    def gradient(self) -> DataFrame:
+        """The gradient over the training rows at the fitted coefficients."""
+        weights = [float(w) for w in self.model.coefficients]
+        return likelihood_gradient(
+            self.train, weights, float(self.model.intercept), self.model.getRegParam()
+        )
+
     def summary(self) -> DataFrame:
         return evaluation_summary(self.predictions())
 
     def metrics(self) -> DataFrame:
         """Metric names and values as text, in the published order. The test rows are
         scored once. Fixed values: the names and their order."""
-        with persisted(self.predictions().select("rawPrediction", "prediction", LABEL)) as scored:
+        margin = vector_to_array("rawPrediction").getItem(1).alias("margin")
+        with persisted(self.predictions().select(margin, "prediction", LABEL)) as scored:
             seen = evaluation_summary(scored).first()
-            roc, precision = (area_under(scored, f"areaUnder{kind}") for kind in ("ROC", "PR"))
+            areas = areas_under_curves(scored, "margin", LABEL).first()
         strategy = FILLED_WITH_ZERO if self.price_fill is None else FILLED_WITH_MEDIAN
         rows = [
             ("model", "logistic_regression"),
@@ -141,8 +149,8 @@ class TrainedModel:
             ("train_rows", str(self.train.count())),
             ("test_rows", str(self.test.count())),
             ("evaluated_rows", str(seen["evaluated_rows"])),
-            ("area_under_roc", f"{roc:.6f}"),
-            ("area_under_pr", f"{precision:.6f}"),
+            ("area_under_roc", _fixed(areas["area_under_roc"])),
+            ("area_under_pr", _fixed(areas["area_under_pr"])),
             ("accuracy", _fixed(seen["accuracy"])),
             ("test_positive_label_rate", _fixed(seen["positive_label_rate"])),
             ("test_positive_prediction_rate", _fixed(seen["positive_prediction_rate"])),
@@ -167,10 +175,34 @@ def _fixed(value: float | None) -> str:
     return "" if value is None else f"{value:.6f}"
 
 
-def area_under(predictions: DataFrame, metric: str) -> float:
-    return BinaryClassificationEvaluator(
-        labelCol=LABEL, rawPredictionCol="rawPrediction", metricName=metric
-    ).evaluate(predictions.select("rawPrediction", LABEL))
+def likelihood_gradient(
+    features: DataFrame, weights: Sequence[float], intercept: float, reg: float = SOLVER["regParam"]
+) -> DataFrame:
+    """(feature, gradient) of the regularised mean log loss at given coefficients.
+
+    In the coordinates in which the solver regularises: features centred and divided by
+    their sample deviation, no penalty on the intercept. All entries are 0 at the fit, so
+    they certify it without a second solver. One pass, one row per task; a feature
+    without deviation has the gradient 0.
+    """
+    columns = dict(zip(FEATURES, weights, strict=True))
+    margin = sum((F.col(c) * float(w) for c, w in columns.items()), F.lit(float(intercept)))
+    off = 1 / (1 + F.exp(-margin)) - F.col(LABEL)
+    measured = [F.avg("_off").alias("_off")]
+    for i, c in enumerate(FEATURES):
+        measured += [
+            F.avg(F.col("_off") * F.col(c)).alias(f"_slope_{i}"),
+            F.avg(c).alias(f"_mean_{i}"),
+            F.stddev_samp(c).alias(f"_spread_{i}"),
+        ]
+    seen = features.withColumn("_off", off).agg(*measured)
+    entries = [F.struct(F.lit("intercept").alias("feature"), F.col("_off").alias("gradient"))]
+    for i, (c, w) in enumerate(columns.items()):
+        spread = F.col(f"_spread_{i}")
+        slope = F.col(f"_slope_{i}") - F.col("_off") * F.col(f"_mean_{i}")
+        entry = F.when(spread > 0, slope / spread + reg * float(w) * spread).otherwise(0.0)
+        entries.append(F.struct(F.lit(c).alias("feature"), entry.alias("gradient")))
+    return seen.select(F.inline(F.array(*entries)))
 
 
 def evaluation_summary(predictions: DataFrame) -> DataFrame:

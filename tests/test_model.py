@@ -94,3 +94,54 @@ def test_fill_strategy_without_prices(spark, trained):
     metrics = dict(rows(replace(trained, price_fill=None).metrics()))
     assert metrics["price_fill_strategy"] == "fallback_zero_price"
     assert metrics["price_fill_value"] == "0.000000"
+
+
+def test_areas_of_the_model_equal_mllib(trained):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    values = dict(rows(trained.metrics()))
+    for name, metric in (("area_under_roc", "areaUnderROC"), ("area_under_pr", "areaUnderPR")):
+        theirs = BinaryClassificationEvaluator(labelCol="is_helpful", metricName=metric, numBins=0)
+        assert float(values[name]) == pytest.approx(theirs.evaluate(trained.predictions()), abs=1e-6)
+
+
+def test_the_gradient_is_that_of_the_likelihood(spark):
+    """Against finite differences of the regularised loss in the solver's coordinates."""
+    import math
+    import statistics
+
+    n = F.col("id")
+    built = [(n * (i + 3) % (7 + i) + 2000 * (i == 3)).cast("double").alias(c) for i, c in enumerate(FEATURES)]
+    frame = spark.range(300).select(*built, (n % 3 == 0).cast("double").alias("is_helpful"))
+    data = frame.collect()
+    columns = [[r[c] for r in data] for c in FEATURES]
+    centre = [statistics.fmean(c) for c in columns]
+    spread = [statistics.stdev(c) for c in columns]
+
+    def loss(scaled, shift):
+        total = 0.0
+        for r in data:
+            z = shift + sum(b * (r[c] - m) / s for b, c, m, s in zip(scaled, FEATURES, centre, spread))
+            total += math.log1p(math.exp(z)) - r["is_helpful"] * z
+        return total / len(data) + 0.01 / 2 * sum(b * b for b in scaled)
+
+    weights = [0.2, -0.1, 0.05, 0.3, -0.4]
+    scaled = [w * s for w, s in zip(weights, spread)]
+    shift = -0.7
+    intercept = shift - sum(w * m for w, m in zip(weights, centre))
+    found = dict(rows(helpful_model.likelihood_gradient(frame, weights, intercept)))
+    step = 1e-5
+    for i, c in enumerate(FEATURES):
+        up = [b + step * (j == i) for j, b in enumerate(scaled)]
+        down = [b - step * (j == i) for j, b in enumerate(scaled)]
+        assert found[c] == pytest.approx((loss(up, shift) - loss(down, shift)) / (2 * step), abs=1e-7)
+    slope = (loss(scaled, shift + step) - loss(scaled, shift - step)) / (2 * step)
+    assert found["intercept"] == pytest.approx(slope, abs=1e-7)
+
+
+def test_the_gradient_vanishes_at_the_fit_only(trained):
+    found = [abs(r["gradient"]) for r in trained.gradient().collect()]
+    assert max(found) < 1e-3
+    weights = [float(w) * 1.3 for w in trained.model.coefficients]
+    off = helpful_model.likelihood_gradient(trained.train, weights, float(trained.model.intercept))
+    assert max(abs(r["gradient"]) for r in off.collect()) > 1e-2
