@@ -16,7 +16,10 @@ from starmill.llm import (
     near_dedup,
     packing,
     pieces,
+    pivot_simhash,
+    prefix_trie,
     sampling,
+    spelling,
     suffix_dedup,
     toxicity,
     vector_topk,
@@ -170,3 +173,18 @@ def op8_gumbel_segmentations(spark, sf_dir):
     vocabulary = pieces.read_vocabulary(public_tokenizers.path(PIECES))
     drawn = sampling.sample_segmentations(table(spark, sf_dir, "documents"), vocabulary)
     return drawn.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op11_pivot_simhash")
+def op11_pivot_simhash(spark, sf_dir):
+    return pivot_simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie")
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
