@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import stored
 
+#: Parts that the neighbours of one id are dealt over.
+SALTS = 64
+
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over ``links`` (a, b), both ways.
@@ -25,12 +28,12 @@ def components(links: DataFrame) -> DataFrame:
     before = _fingerprint(edges)
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _with_least(both, F.least(F.min("v"), F.first("u")))
+        large = large.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(least.select("u", F.col("m").alias("v")))
+        linked = _with_least(large, F.min("v"))
+        small = linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.union(linked.select("u", F.col("m").alias("v")))
         edges = stored(small.where(F.col("u") != F.col("v")).distinct(), "links")
         after = _fingerprint(edges)
         if after == before:
@@ -40,6 +43,20 @@ def components(links: DataFrame) -> DataFrame:
         before = after
 
 
+def _with_least(edges: DataFrame, least: Column) -> DataFrame:
+    """(u, v, m): every edge with the least over all edges of its ``u``.
+
+    The edges of an id are dealt over parts by their other end. Only the parts' least,
+    at most SALTS for an id, meet in one place; they bring the overall least back to the
+    parts, so that no task holds all edges of an id with very many.
+    """
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    parts = dealt.groupBy("u", "part").agg(least.alias("least"))
+    whole = parts.groupBy("u").agg(F.min("least").alias("m"))
+    known = parts.select("u", "part").join(whole, "u")
+    return dealt.join(known, ["u", "part"]).select("u", "v", "m")
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     """What changes as long as edges do."""
     mixed = F.xxhash64("u", "v").cast("decimal(38,0)")

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import mix64, stored, utf8
@@ -23,8 +23,6 @@ SPACING = 1.005
 #: Pairs whose estimated similarity lies this far below the threshold, some six standard
 #: errors of 101 registers, are not verified.
 MARGIN = 0.22
-#: Ratio of neighbouring size classes in the exact search of what is left.
-SIZE_STEP = 1.03
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
@@ -212,11 +210,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     3. In every band value all classes meet the hub only, the one that shares most bands
        with others; pairs that the registers' likelihood leaves possible are verified on
        the full sets. A group of n copies costs n pairs this way.
-    4. Band values that still hold several families, classes around a hub, are searched
-       exactly. What two classes share is, at most, what both share with the hub of the
-       band value and the shingles beyond the hub that they have in common. So either
-       their sizes allow a link on the former alone, which is looked up by size, or they
-       meet in shingles beyond the hub, often enough. All such pairs are verified.
+    4. Band values that still hold several families, classes not connected yet, are searched
+       exactly. A class is known by its differences from what most classes under the hub
+       have. Two that are linked share so many of these that they meet in the rarest, or
+       have so few that both are linked with the class nearest to the consensus. Pairs
+       that meet this way are verified.
 
     A null text or one without words has n_shingles 0 and is linked with nothing, a
     shorter text is one shingle. Rows that share a doc_id are one document with the
@@ -240,7 +238,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     links = stored(
         _verified(_likely(hubs, classes, percent), texts, words, percent), "verified-links"
     )
-    rest = _rest(shared, _families(links), texts, words, percent)
+    rest = _rest(shared, _connected(links), texts, words, percent)
     more = _verified(_likely(rest, classes, percent), texts, words, percent)
     joined = links.union(more)
     # Rows of one class, and those of one doc_id, belong together.
@@ -279,22 +277,16 @@ def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
     return stored(rows.join(wanted, "id", "left_semi"), "candidate-texts")
 
 
-def _families(links: DataFrame) -> DataFrame:
-    """(id, family): the most linked hub of a class, or that hub's own. Classes of one
-    family are connected, though connected classes may have several families."""
-    liked = links.groupBy("b").agg(F.count("*").alias("n"))
-    best = F.max(F.struct("n", "b")).getField("b")
-    hub = links.join(liked, "b").groupBy(F.col("a").alias("id")).agg(best.alias("hub"))
-    above = hub.select(F.col("id").alias("hub"), F.col("hub").alias("above"))
-    return hub.join(above, "hub", "left").select("id", F.coalesce("above", "hub").alias("family"))
+def _connected(links: DataFrame) -> DataFrame:
+    """(id, family): what the links so far connect. Pairs of one family need no search."""
+    return components(links).select("id", F.col("component").alias("family"))
 
 
-_BEYOND = "hub long, id long, family long, main long, best long, n long, kept long, beyond array<long>"
+_APART = "hub long, id long, family long, main long, best long, n long, n_hub long, apart array<long>"
 
 
-def _beyond_hub(contexts: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Per class and hub: the size of the class, what it shares with the hub, and the
-    hashes of its other shingles."""
+def _apart_from_hub(contexts: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Per class and hub: the sizes of both and the hashes that only one of them has."""
     for side, name in (("id", "t_a"), ("hub", "t_b")):
         held = texts.select(F.col("id").alias(side), F.col("text").alias(name))
         contexts = contexts.hint("merge").join(held, side)
@@ -306,20 +298,87 @@ def _beyond_hub(contexts: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             for at in range(0, len(whole), 256):
                 batch = whole.slice(at, 256)
                 sets = shingle_sets(*text_bytes(batch, "t_a"), words)
-                beyond = []
+                apart, hubs = [], []
                 for ours, scalar in zip(sets, batch.column("t_b"), strict=True):
                     text = scalar.as_py()
                     if text != last:
                         data = np.frombuffer(text, np.uint8)
                         last, held = text, shingle_sets(data, np.array([0, len(data)]), words)[0]
-                    beyond.append(np.setdiff1d(ours, held, assume_unique=True).astype(np.int64))
-                n = np.array([len(s) for s in sets], np.int64)
-                kept = n - np.array([len(x) for x in beyond], np.int64)
+                    apart.append(np.setxor1d(ours, held, assume_unique=True).astype(np.int64))
+                    hubs.append(len(held))
                 columns = {c: batch.column(c) for c in through}
-                columns |= {"n": n, "kept": kept, "beyond": pa.array(beyond, pa.list_(pa.int64()))}
+                columns |= {"n": np.array([len(x) for x in sets], np.int64), "n_hub": np.array(hubs, np.int64)}
+                columns["apart"] = pa.array(apart, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return contexts.select(*through, "t_a", "t_b").mapInArrow(compare, _BEYOND)
+    return contexts.select(*through, "t_a", "t_b").mapInArrow(compare, _APART)
+
+
+def _around_consensus(rows: DataFrame, ratio: float) -> DataFrame:
+    """The same differences around what most classes under the hub have instead.
+
+    ``far`` is the number of differences less ``ratio`` shingles for each of the class:
+    two classes are linked at most if they share half the sum of theirs, or more, of
+    their differences.
+    """
+    tokens = rows.select("hub", F.explode("apart").alias("shingle"))
+    often = tokens.groupBy("hub", "shingle").agg(F.count("*").alias("often"))
+    sizes = rows.groupBy("hub").agg(F.count("*").alias("classes"))
+    most = often.join(sizes, "hub").where(2 * F.col("often") > F.col("classes"))
+    most = stored(most.groupBy("hub").agg(F.collect_list("shingle").alias("most")), "consensus")
+    around = F.when(F.col("most").isNull(), F.col("apart")).otherwise(
+        F.concat(F.array_except("apart", "most"), F.array_except("most", "apart"))
+    )
+    moved = rows.join(most, "hub", "left").withColumn("apart", around).drop("most")
+    return stored(moved.withColumn("far", F.size("apart") - ratio * F.col("n")), "consensus-apart")
+
+
+def _rare_prefixes(rows: DataFrame, percent: int) -> DataFrame:
+    """Where classes under one hub may meet: (hub, shingle, low, high, id).
+
+    Two sets that share ``need`` members also meet in the rarest ``size - need + 1`` of
+    each. Rarity is that under the hub; differences of one family come first, bring no
+    pair together and are left out. What is needed depends on both classes: ``far`` is
+    cut into steps, and a class has a prefix for every step that a partner may be in.
+    ``low`` and ``high`` are the steps of both.
+    """
+    t, r = percent / 100, _ratio(percent)
+    place = ["hub", "shingle"]
+    tokens = rows.select("hub", "family", "id", F.explode("apart").alias("shingle"))
+    ends = tokens.groupBy(*place).agg(
+        F.min("family").alias("first"), F.max("family").alias("last"), F.count("*").alias("often")
+    )
+    met = stored(ends.where(F.col("first") < F.col("last")).select(*place, "often"), "met-shingles")
+    mine = Window.partitionBy("hub", "id")
+    ranked = tokens.select("hub", "id", "shingle").join(met, place).withColumns(
+        {"rank": F.row_number().over(mine.orderBy("often", "shingle")), "met": F.count("*").over(mine)}
+    )
+    n, far, size = F.col("n"), F.col("far"), F.size("apart")
+    step = F.greatest(F.floor(r / 2 * F.col("n_hub")), F.lit(1))
+    # Differences of linked classes differ in number by no more than the classes do.
+    most = r * (n + n / t)
+    lowest = F.greatest(-far, F.greatest(size - most, F.lit(0.0)) - r * n / t)
+    highest = size + most - r * t * n
+    measured = rows.select(
+        "hub", "id", size.alias("size"), "far", step.alias("step"),
+        F.floor(far / step).alias("own"), F.floor(lowest / step - 1e-6).alias("from"), F.floor(highest / step + 1e-6).alias("to"),
+    ).where(F.col("from") <= F.col("to"))
+    # A prefix with room for the rank: size - need + 1 >= rank + (size - met), with need
+    # half of far and the partner's step, at least one.
+    spare = F.col("met") - F.col("rank") + 1
+    upto = F.floor((2 * spare - F.col("far")) / F.col("step") + 1e-6)
+    reach = ranked.join(measured, ["hub", "id"]).where(spare >= 1)
+    steps = F.when(F.least("to", upto) >= F.col("from"), F.sequence(F.col("from"), F.least("to", upto)))
+    met_at = reach.select("hub", "shingle", "id", "own", F.explode(steps).alias("other"))
+    return met_at.select(
+        *place, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        (F.col("own") <= F.col("other")).alias("lower"), (F.col("own") >= F.col("other")).alias("upper"), "id",
+    )
+
+
+def _ratio(percent: int) -> float:
+    """Differences that linked sets may have for each shingle of both."""
+    return (100 - percent) / (100 + percent)
 
 
 def _rest(shared: DataFrame, families: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -328,8 +387,12 @@ def _rest(shared: DataFrame, families: DataFrame, texts: DataFrame, words: int,
         "band", "id", "hub", F.coalesce("family", "id").alias("family")
     )
     labelled = stored(labelled, "labelled-bands")
-    ends = labelled.groupBy("band").agg(F.min("family").alias("low"), F.max("family").alias("high"))
-    open_bands = stored(ends.where(F.col("low") < F.col("high")).select("band"), "open-bands")
+    # A band value of two classes is settled: one of them was the hub of the other.
+    ends = labelled.groupBy("band").agg(
+        F.min("family").alias("low"), F.max("family").alias("high"), F.count("*").alias("size")
+    )
+    open_bands = ends.where((F.col("low") < F.col("high")) & (F.col("size") > 2)).select("band")
+    open_bands = stored(open_bands, "open-bands")
     contexts = (
         labelled.join(open_bands, "band")
         .groupBy("hub", "id")
@@ -345,51 +408,27 @@ def _rest(shared: DataFrame, families: DataFrame, texts: DataFrame, words: int,
     best = F.max(F.struct("bands", (-F.col("hub")).alias("hub"))).getField("hub")
     best = contexts.groupBy("id").agg((-best).alias("best"))
     contexts = contexts.join(stored(main, "main-families"), "hub").join(best, "id")
-    rows = stored(_beyond_hub(contexts, texts, words), "beyond-hubs")
-    t = percent / 100
-    facts = ("id", "family", "best", "n", "kept")
-    asking = rows.where(F.col("family") != F.col("main"))
-    asked = [F.col(c).alias(f"x_{c}") for c in facts]
-    small, large = F.least("n", "x_n"), F.greatest("n", "x_n")
-    distinct = (
+    r = _ratio(percent)
+    rows = _around_consensus(stored(_apart_from_hub(contexts, texts, words), "hub-differences"), r)
+    # Classes so near the consensus that their differences need not meet at all are
+    # linked, each of them also with the nearest.
+    nearest = F.min(F.struct("far", "id")).alias("nearest")
+    nearest = rows.groupBy("hub").agg(nearest).select("hub", "nearest.*")
+    nearest = nearest.select("hub", F.col("far").alias("x_far"), F.col("id").alias("x_id"))
+    close = rows.join(nearest, "hub").where((F.col("far") + F.col("x_far") <= 1e-6) & (F.col("id") != F.col("x_id")))
+    facts = ["family", "main", "best", "n", "far", F.size("apart").alias("size")]
+    meeting = _rare_prefixes(rows, percent).join(rows.select("hub", "id", *facts), ["hub", "id"])
+    meeting = stored(meeting, "rare-prefixes")
+    place = ["hub", "shingle", "low", "high"]
+    asking = meeting.where(F.col("family") != F.col("main")).select(
+        *place, *[F.col(c).alias(f"x_{c}") for c in ("id", "family", "best", "n", "far", "size", "lower", "upper")]
+    )
+    possible = (
         (F.col("x_family") != F.col("family"))
-        & (F.lit(percent) * large <= 100 * small)
+        & ((F.col("x_lower") & F.col("upper")) | (F.col("x_upper") & F.col("lower")))
+        & (F.lit(percent) * F.greatest("n", "x_n") <= 100 * F.least("n", "x_n"))
         & ((F.col("x_best") != F.col("best")) | (F.col("best") == F.col("hub")))
+        & (F.col("far") + F.col("x_far") <= 2 * F.least("size", "x_size") + 1e-6)
     )
-    # Shared shingles that a link needs, less those that the hub can account for.
-    needed = F.ceil((F.col("n") + F.col("x_n")) * (t / (1 + t)) - 1e-6)
-    missing = needed - F.least("kept", "x_kept")
-
-    def size_class(n):
-        return F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP)))
-
-    most = F.least(F.floor(F.col("n") / t + 1e-6), F.floor(F.col("kept") * ((1 + t) / t) - F.col("n") + 1e-6))
-    least = F.ceil(F.col("n") * t - 1e-6)
-    sizes = F.sequence(size_class(least), size_class(most))
-    by_size = (
-        asking.where(least <= most)
-        .select("hub", *asked, F.explode(sizes).alias("size_class"))
-        .join(
-            rows.select("hub", *facts, size_class(F.col("n")).alias("size_class")),
-            ["hub", "size_class"],
-        )
-        .where(distinct & (missing <= 0))
-    )
-    # Only shingles that several families have beyond the hub can bring a pair together.
-    beyond = rows.select("hub", *facts, "main", F.explode("beyond").alias("shingle"))
-    ends = beyond.groupBy("hub", "shingle").agg(
-        F.min("family").alias("low"), F.max("family").alias("high")
-    )
-    met = ends.where(F.col("low") < F.col("high")).select("hub", "shingle")
-    beyond = stored(beyond.join(stored(met, "met-shingles"), ["hub", "shingle"]), "beyond-shingles")
-    by_shingle = (
-        beyond.where(F.col("family") != F.col("main"))
-        .select("hub", "shingle", *asked)
-        .join(beyond.select("hub", "shingle", *facts), ["hub", "shingle"])
-        .where(distinct & (missing > 0))
-        .groupBy("hub", "x_id", "id")
-        .agg(F.count("*").alias("together"), F.first(missing).alias("missing"))
-        .where(F.col("together") >= F.col("missing"))
-    )
-    pairs = by_size.select("x_id", "id").union(by_shingle.select("x_id", "id"))
+    pairs = asking.join(meeting, place).where(possible).select("x_id", "id").union(close.select("x_id", "id"))
     return pairs.select(F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b")).distinct()
