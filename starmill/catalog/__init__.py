@@ -14,6 +14,7 @@ from starmill.catalog import (  # noqa: F401
     model,
     ranking,
     scalars,
+    sql_reports,
     surfaces,
     text,
 )

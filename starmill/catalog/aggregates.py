@@ -13,7 +13,17 @@ from starmill.catalog.bindings import (
 )
 from starmill.catalog.registry import query
 from starmill.functions.buckets import median_value, percentage, rounded_mean, rounded_stddev
+from starmill.operators.sketches import (
+    RANK_ERROR,
+    dense_ids,
+    distinct_bitmaps,
+    distinct_from,
+    merged_quantile,
+    quantile_sketches,
+    rank_errors,
+)
 from starmill.plans.helpful_model import median_price
+from starmill.session import materialise
 
 
 @query(
@@ -183,3 +193,33 @@ def having_min_count(spark, sf_dir):
         .agg(F.count("*").alias("review_count"))
         .where("review_count >= 20")
     )
+
+
+@query(
+    "median_from_sketches",
+    f"""
+    SELECT rating, COUNT(review_length) AS n, true AS within_error
+    FROM ({LINE_REVIEWS}) WHERE rating IS NOT NULL GROUP BY rating
+    """,
+)
+def median_from_sketches(spark, sf_dir):
+    """Medians of lengths from stored sketches of each year, against their exact ranks."""
+    reviews = line_reviews(spark, sf_dir).where("rating IS NOT NULL")
+    sketches = materialise(quantile_sketches(reviews, ["rating"], "review_year", "review_length"), "length-sketches")
+    found = merged_quantile(sketches, ["rating"])
+    errors = rank_errors(reviews, found, ["rating"], "review_length", 0.5)
+    return errors.select("rating", "n", (F.col("rank_error") <= RANK_ERROR).alias("within_error"))
+
+
+@query(
+    "distinct_from_bitmaps",
+    """
+    SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def distinct_from_bitmaps(spark, sf_dir):
+    """Distinct parts of a flag from bitmaps stored per ship year."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    ids = dense_ids(lines, "l_partkey")
+    bitmaps = distinct_bitmaps(lines, ids, ["l_returnflag"], "ship_year", "l_partkey")
+    return distinct_from(materialise(bitmaps, "part-bitmaps"), ["l_returnflag"], "parts")

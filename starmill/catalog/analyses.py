@@ -216,3 +216,14 @@ def keyword_ranking(spark, sf_dir):
 @query("keyword_heavy_hitters", KEYWORD_RANKING)
 def keyword_heavy_hitters(spark, sf_dir):
     return analyses.keyword_ranking(document_reviews(spark, sf_dir), heavy=True)
+
+
+@query("join_bloom_reduced", PRICE_BUCKETS)
+def join_bloom_reduced(spark, sf_dir):
+    return analyses.price_buckets(
+        line_reviews(spark, sf_dir),
+        part_products(spark, sf_dir),
+        edges=PART_PRICE_EDGES,
+        labels=PART_PRICE_LABELS,
+        reduce=True,
+    )

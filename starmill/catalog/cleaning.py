@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from starmill.catalog.bindings import (
@@ -14,6 +16,8 @@ from starmill.catalog.bindings import (
 from starmill.catalog.registry import query
 from starmill.operators.dedup import dedup_by_key
 from starmill.plans import cleaning
+from starmill.session import shared_dir
+from starmill.sources.writers import write_table
 
 TYPED_REVIEWS = f"""
     SELECT "reviewerID", asin,
@@ -91,9 +95,7 @@ def _with_text_arrays(products):
     return products.withColumns(joined)
 
 
-@query(
-    "clean_counts",
-    f"""
+CLEAN_COUNTS = f"""
     WITH typed AS (SELECT *, "reviewerID" IS NOT NULL AND asin IS NOT NULL
                              AND rating IS NOT NULL AS valid FROM ({TYPED_REVIEWS})),
          kept AS (SELECT DISTINCT "reviewerID", asin, unix_time FROM typed WHERE valid),
@@ -109,8 +111,10 @@ def _with_text_arrays(products):
     FROM (SELECT (SELECT COUNT(*) FROM parts) AS raw_rows,
                  (SELECT COUNT(*) FROM parts WHERE NOT valid) AS rejected_rows,
                  (SELECT COUNT(DISTINCT p_asin) FROM parts) AS clean_rows)
-    """,
-)
+    """
+
+
+@query("clean_counts", CLEAN_COUNTS)
 def clean_counts(spark, sf_dir):
     raw = raw_reviews(spark, sf_dir)
     reviews = cleaning.review_counts(raw)
@@ -131,6 +135,25 @@ DEDUP_LINES = """
     """
 
 
+_COUNTS = (
+    "raw_rows bigint, corrupt_rows bigint, rejected_rows bigint, surplus_rows bigint, clean_rows bigint"
+)
+
+
+@query("clean_counts_written", CLEAN_COUNTS)
+def clean_counts_written(spark, sf_dir):
+    """The same counts out of the jobs that write the clean tables."""
+    folder = f"{shared_dir(spark)}/clean-{uuid.uuid4().hex}"
+    raw = {"reviews": raw_reviews(spark, sf_dir), "products": raw_products(spark, sf_dir)}
+    for name, df in raw.items():
+        write_table(df, f"{folder}/raw-{name}")
+    reviews = cleaning.write_clean_reviews(spark, f"{folder}/raw-reviews", f"{folder}/reviews")
+    products = cleaning.write_clean_products(spark, f"{folder}/raw-products", f"{folder}/products")
+    # Few numbers from two sessions, brought into this one.
+    named = [("reviews", *reviews.first()), ("products", *products.first())]
+    return spark.createDataFrame(named, f"table_name string, {_COUNTS}")
+
+
 @query("dedup_by_key", DEDUP_LINES)
 def dedup_lines(spark, sf_dir):
     return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

@@ -28,7 +28,7 @@ from starmill.functions.parsing import (
     utc_date,
 )
 from starmill.functions.text import short_label, text_length, title_label
-from starmill.operators.profile import profile_table
+from starmill.operators.profile import profile_table, sample_rows
 from starmill.sources.readers import read_table, register_views
 
 
@@ -90,6 +90,18 @@ def profile_documents(spark, sf_dir):
     return profile_table(table(spark, sf_dir, "documents"), "documents")
 
 
+@query(
+    "profile_sample",
+    """
+    SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+    ORDER BY md5(concat_ws('|', o_orderkey, o_custkey, o_orderpriority)) LIMIT 25
+    """,
+)
+def profile_sample(spark, sf_dir):
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    return sample_rows(table(spark, sf_dir, "orders"), columns, 25)
+
+
 @query(
     "project_cast",
     """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from starmill.catalog.bindings import (
     DOCUMENT_REVIEWS,
     LINE_REVIEWS,
@@ -16,7 +18,13 @@ from starmill.catalog.cleaning import CLEAN_REVIEWS
 from starmill.catalog.registry import query
 from starmill.plans import analyses, cleaning
 from starmill.session import shared_dir
-from starmill.sources.readers import land_json_lines, read_result_csv, read_table, register_views
+from starmill.sources.readers import (
+    land_json_lines,
+    quarantine_lines,
+    read_result_csv,
+    read_table,
+    register_views,
+)
 from starmill.sources.schemas import RAW_REVIEWS as RAW_SCHEMA
 from starmill.sources.writers import write_report, write_table
 
@@ -99,3 +107,28 @@ def roundtrip_parquet(spark, sf_dir):
     path = _fresh(spark, "orders")
     write_table(table(spark, sf_dir, "orders"), path, ("o_orderstatus",))
     return read_table(spark, path)
+
+
+@query(
+    "corrupt_lines",
+    """
+    SELECT line, COUNT(*) AS copies, true AS has_file FROM (
+        SELECT CASE WHEN source = 'src5' THEN '{"reviewerID": "' || CAST(doc_id AS VARCHAR)
+                    ELSE 'no json ' || CAST(n_chars AS VARCHAR) END AS line
+        FROM documents WHERE source IN ('src5', 'src7')
+    ) GROUP BY line
+    """,
+)
+def corrupt_lines(spark, sf_dir):
+    """Raw lines of two sources cut off or no JSON at all, found with their files."""
+    lines, landed, bad = (_fresh(spark, name) for name in ("raw-lines", "landed", "bad-lines"))
+    documents = table(spark, sf_dir, "documents")
+    whole = F.to_json(F.struct(F.col("doc_id").cast("string").alias("reviewerID"), F.col("text").alias("reviewText")))
+    cut = F.concat(F.lit('{"reviewerID": "'), F.col("doc_id").cast("string"))
+    broken = F.when(F.col("source") == "src5", cut).when(
+        F.col("source") == "src7", F.concat(F.lit("no json "), F.col("n_chars").cast("string"))
+    )
+    documents.select(F.coalesce(broken, whole).alias("value")).write.option("compression", "gzip").text(lines)
+    _, found = quarantine_lines(spark, lines, RAW_SCHEMA, landed, bad)
+    has_file = F.every(F.col("raw_file").endswith(".gz") & F.col("block_start").isNotNull())
+    return found.groupBy("line").agg(F.count("*").alias("copies"), has_file.alias("has_file"))

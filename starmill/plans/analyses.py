@@ -24,6 +24,7 @@ from starmill.operators.heavy_hitters import rank_heavy_keywords
 from starmill.operators.keywords import clean_tokens, rank_keywords
 from starmill.operators.moments import Moments, overall_mean
 from starmill.operators.ranking import share_of_total, top_n
+from starmill.operators.semijoin import reduce_by_keys
 from starmill.roles import REVIEW_ROLES, Roles
 
 POSITIVE_SCORE = 4
@@ -173,12 +174,17 @@ def user_frequency(
     )
 
 
-def _scores_per_item(reviews: DataFrame, roles: Roles, score: Moments) -> DataFrame:
+def _scores_per_item(
+    reviews: DataFrame, roles: Roles, score: Moments, wanted: DataFrame | None = None
+) -> DataFrame:
     """Scored reviews collapsed to one row per item, ready to meet the product table.
 
     Joining items instead of reviews keeps a best-selling item to a single row and
-    moves none of the review rows.
+    moves none of the review rows. Of reviews whose item is not ``wanted`` most go ahead
+    of the aggregation.
     """
+    if wanted is not None:
+        reviews = reduce_by_keys(reviews, wanted, roles.item)
     return (
         reviews.where(F.col(roles.item).isNotNull() & F.col(roles.score).isNotNull())
         .groupBy(roles.item)
@@ -192,11 +198,16 @@ def price_buckets(
     roles: Roles = REVIEW_ROLES,
     edges: Sequence[float] = PRICE_EDGES,
     labels: Sequence[str] = PRICE_LABELS,
+    reduce: bool = False,
 ) -> DataFrame:
-    """Reviews, products and scores per price bucket; unpriced products are left out."""
+    """Reviews, products and scores per price bucket; unpriced products are left out.
+
+    ``reduce`` gives the same rows; it keeps reviews of unpriced items out of the shuffle,
+    for a pass over the products beforehand.
+    """
     score, price = Moments("score"), F.col(roles.price)
     priced = products.where(price.isNotNull() & (price >= 0)).select(roles.item, roles.price)
-    collapsed = _scores_per_item(reviews, roles, score)
+    collapsed = _scores_per_item(reviews, roles, score, priced if reduce else None)
     centre = overall_mean(collapsed, score)
     items = collapsed.join(priced, roles.item)
     paid = F.sum(price * F.col(score.count_col))

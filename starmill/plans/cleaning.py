@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions.parsing import clean_label, parse_count, parse_price, utc_date
 from starmill.functions.text import text_length
 from starmill.operators.dedup import dedup_by_key
-from starmill.operators.profile import clean_counts
+from starmill.operators.profile import WriteCounts, clean_counts
+from starmill.sources.readers import read_table
+from starmill.sources.writers import write_table
 
 REVIEW_KEY = ["reviewerID", "asin", "unix_time"]
 PRODUCT_KEY = ["asin"]
@@ -82,6 +84,22 @@ def clean_products(raw: DataFrame, legacy: bool = False) -> DataFrame:
     )
 
 
+def write_clean_reviews(spark: SparkSession, raw_path: str, path: str) -> DataFrame:
+    """Landed reviews cleaned into ``path`` in one scan; returns what was counted."""
+    counting = WriteCounts(read_table(spark.newSession(), raw_path), _valid_raw())
+    write_table(clean_reviews(counting.watched), path)
+    return counting.counts(read_table(counting.watched.sparkSession, path))
+
+
+def write_clean_products(
+    spark: SparkSession, raw_path: str, path: str, legacy: bool = False
+) -> DataFrame:
+    """Landed products cleaned into ``path`` in one scan; returns what was counted."""
+    counting = WriteCounts(read_table(spark.newSession(), raw_path), F.col("asin").isNotNull())
+    write_table(clean_products(counting.watched, legacy), path)
+    return counting.counts(read_table(counting.watched.sparkSession, path))
+
+
 def review_counts(raw: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
     """How many raw reviews were corrupt, rejected, merged and kept. Without the written
     clean table its distinct keys are counted."""

@@ -87,16 +87,13 @@ def profile(raw: dict[str, DataFrame], layout: Layout) -> None:
 def clean(raw: dict[str, DataFrame], layout: Layout, options: Options) -> None:
     """Write the clean tables and how many rows each lost."""
     for name, df in raw.items():
-        is_product = name == PRODUCTS
-        count = cleaning.product_counts if is_product else cleaning.review_counts
-        cleaned = (
-            cleaning.clean_products(df, options.legacy_parsing)
-            if is_product
-            else cleaning.clean_reviews(df)
+        spark, paths = df.sparkSession, (layout.raw(name), layout.clean(name))
+        counts = (
+            cleaning.write_clean_products(spark, *paths, options.legacy_parsing)
+            if name == PRODUCTS
+            else cleaning.write_clean_reviews(spark, *paths)
         )
-        write_table(cleaned, layout.clean(name))
-        written = read_table(df.sparkSession, layout.clean(name))
-        write_report(count(df, written), layout.report(f"00_counts_{name}"), one_file=True)
+        write_report(counts, layout.report(f"00_counts_{name}"), one_file=True)
 
 
 def open_clean(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.sources.schemas import CORRUPT
 
@@ -31,6 +32,29 @@ def land_json_lines(
     return spark.read.parquet(target)
 
 
+def quarantine_lines(
+    spark: SparkSession, path: str | list[str], schema: str, target: str, bad_target: str
+) -> tuple[DataFrame, DataFrame]:
+    """Land raw lines as tables: those that parse whole, and the others for a look.
+
+    Bad lines keep their file and where its part began, beside the text as it was. The
+    raw files are parsed once: both tables come from the one landing, the bad ones from
+    the few rows whose column for them is not null.
+    """
+    lines = read_json_lines(spark, path, schema).select(
+        "*",
+        F.col("_metadata.file_path").alias("raw_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+    bad = F.col(CORRUPT).isNotNull()
+    lines.withColumn("is_bad", bad).write.mode("overwrite").partitionBy("is_bad").parquet(target)
+    landed = spark.read.schema(f"{schema}, raw_file string, block_start bigint, is_bad boolean").parquet(target)
+    kept = landed.where("is_bad").select("raw_file", "block_start", F.col(CORRUPT).alias("line"))
+    kept.write.mode("overwrite").parquet(bad_target)
+    good = landed.where("not is_bad").drop("raw_file", "block_start", "is_bad", CORRUPT)
+    return good, spark.read.parquet(bad_target)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
