@@ -110,13 +110,15 @@ class LatticeModel:
         out = np.empty((len(words), len(self.shares)))
         for a in range(0, len(words), CHUNK):
             some = words[a : a + CHUNK]
-            spelled = np.exp(marginals([b" " + w for w in some], trie, self.log_probs))
-            spelled[[i for i, w in enumerate(some) if w == END]] = 0.0
-            n = counts[a : a + CHUNK]
-            whole = np.maximum(n - self.discounts, 0.0)
-            out[a : a + CHUNK] = (whole + self.discounts * self.kinds * spelled) / self.totals
-        with np.errstate(divide="ignore"):
-            return np.maximum(np.log10(out), -300.0)
+            spelled = marginals([b" " + w for w in some], trie, self.log_probs)
+            ends = [i for i, w in enumerate(some) if w == END]
+            with np.errstate(divide="ignore"):
+                whole = np.log(np.maximum(counts[a : a + CHUNK] - self.discounts, 0.0))
+                spelled = spelled + np.log(self.discounts * self.kinds)
+                # An end has no segmentation; one that was never seen counts as seen once.
+                spelled[ends] = np.where(np.isneginf(whole[ends]), np.log(self.discounts), -np.inf)
+            out[a : a + CHUNK] = np.logaddexp(whole, spelled) - np.log(self.totals)
+        return out / np.log(10.0)
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary) -> tuple[LatticeModel, DataFrame]:
@@ -299,12 +301,12 @@ def score_documents(
                 {
                     "row_id": batch.column("row_id"),
                     "known": np.where(n[owner, 0] > 0, times, 0).astype(np.int64),
-                    **{f"{s}_rare": every[:, i].astype(np.float32) for i, s in enumerate(sums)},
+                    **{f"{s}_rare": every[:, i] for i, s in enumerate(sums)},
                 }
             )
 
     spelled = rare.mapInArrow(
-        spell, "row_id long, known long, " + ", ".join(f"{s}_rare float" for s in sums)
+        spell, "row_id long, known long, " + ", ".join(f"{s}_rare double" for s in sums)
     )
     added = spelled.groupBy("row_id").agg(
         F.sum("known").alias("known"), *[F.sum(f"{s}_rare").alias(f"{s}_rare") for s in sums]

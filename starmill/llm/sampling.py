@@ -19,7 +19,7 @@ _UNIT = re.compile(rb"\n| *[^ \n]+| +")
 
 SAMPLED = (
     "doc_id long, rank int, ids binary, n_tokens int, log_prob double, perturbed double, "
-    "inclusion double"
+    "inclusion double, log_inclusion double"
 )
 _ARROW = pa.schema(
     [
@@ -30,6 +30,7 @@ _ARROW = pa.schema(
         ("log_prob", pa.float64()),
         ("perturbed", pa.float64()),
         ("inclusion", pa.float64()),
+        ("log_inclusion", pa.float64()),
     ]
 )
 
@@ -114,7 +115,7 @@ class Sampler:
         arcs, owners = [np.zeros(0, np.int64)], [owner[:0]]
         turn = 0
         while len(nodes):
-            u = _uniform(seeds[owner] + turn, places[owner])
+            u = _uniform(seeds[owner], places[owner], turn)
             arc = self._arcs[nodes]
             low = np.flatnonzero(self._ladder[arc] < u)
             while len(low):
@@ -162,7 +163,7 @@ class Sampler:
         arcs = range(*self._node_arcs(int(path[at])))
         arcs = np.array([a for a in arcs if a not in ruled])
         running = np.cumsum(self._chance[arcs])
-        u = float(_uniform(np.array([seed + 999]), np.zeros(1, np.int64))[0]) * running[-1]
+        u = float(_uniform(np.array([seed]), np.zeros(1, np.int64), -1)[0]) * running[-1]
         arc = int(arcs[min(int(np.searchsorted(running, u, side="right")), len(arcs) - 1)])
         ruled = [*ruled, arc]
         left = float(self._chance[[a for a in arcs if a != arc]].sum())
@@ -206,7 +207,7 @@ class Sampler:
         with np.errstate(divide="ignore"):
             mass = before + np.log(np.maximum(left, 0.0))
         mass[step < begin[of]] = -np.inf
-        u = _uniform(seeds[np.array([t.text for t in turns])][of] + 500, step)
+        u = _uniform(seeds[np.array([t.text for t in turns])][of], step, -2)
         with np.errstate(invalid="ignore", over="ignore"):
             # A Gumbel variable at ``mass`` given that it is below ``top``.
             values = mass - np.log(np.exp(mass - top[of]) - np.log(u))
@@ -254,20 +255,27 @@ class _Search:
         out = []
         for path, log_prob, value in self._found:
             rest = self._rest
-            inclusion = 1.0 if rest == -np.inf else float(-np.expm1(-np.exp(log_prob - rest)))
-            out.append((piece[path], log_prob, value, inclusion))
+            apart = np.inf if rest == -np.inf else log_prob - rest
+            # 1 - exp(-exp(apart)), which is exp(apart) itself where that is small.
+            inclusion = float(-np.expm1(-np.exp(min(apart, 40.0))))
+            log_inclusion = float(apart) if apart < -30 else float(np.log(inclusion))
+            out.append((piece[path], log_prob, value, inclusion, log_inclusion))
         return out
 
 
-def _uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Numbers above 0 and below 1 that depend on seed and place only."""
+def _uniform(seeds: np.ndarray, places: np.ndarray, stream: int = -3) -> np.ndarray:
+    """Numbers above 0 and below 1 that depend on seed, place and stream only.
+
+    Streams are apart: no sum of a seed and a stream stands for another pair of them.
+    """
     with np.errstate(over="ignore"):
-        mixed = mix64(places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mix64(seeds, 62), 61)
+        mixed = mix64(seeds, 62) ^ mix64(np.array([stream], np.int64).astype(np.uint64), 63)
+        mixed = mix64(places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mix64(mixed, 62), 61)
     return ((mixed >> np.uint64(12)).astype(float) + 0.5) * 2.0**-52
 
 
 def sample_segmentations(
-    docs: DataFrame, vocabulary: Vocabulary, k: int = 2, seed: int = 1
+    docs: DataFrame, vocabulary: Vocabulary, k: int = 3, seed: int = 1
 ) -> DataFrame:
     """k distinct segmentations of every text, drawn without replacement.
 
@@ -277,7 +285,8 @@ def sample_segmentations(
     holds this one. The draw depends on ``seed`` and ``doc_id`` only, not on partitions.
 
     A null or empty text has one segmentation without tokens; a text with fewer than k
-    segmentations has them all, with inclusion 1. Repeated rows are drawn alike; a null
+    segmentations has them all, with inclusion 1. ``log_inclusion`` is its natural
+    logarithm, finite also where the chance itself is too small for a double. Repeated rows are drawn alike; a null
     ``doc_id`` is a key of its own; other columns are ignored.
     """
     session = docs.sparkSession

@@ -241,6 +241,22 @@ def _spans(row_ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return np.column_stack([row_ids[heads], starts[heads], furthest[last]])
 
 
+def without_spans(text: str | None, spans: list | None) -> str | None:
+    """A text without byte spans (start, end); a character that one cuts goes as a whole."""
+    if text is None or not spans:
+        return text
+    data, kept, at = text.encode(), [], 0
+    for span in spans:
+        begin, end = span["start"], span["end"]
+        while data[begin] & 0xC0 == 0x80:
+            begin -= 1
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end += 1
+        kept.append(data[at : max(at, begin)])
+        at = end
+    return b"".join([*kept, data[at:]]).decode()
+
+
 def _removed(
     spans: np.ndarray, groups_of: np.ndarray, ranges: int
 ) -> Iterator[tuple[int, int, int, bytes]]:

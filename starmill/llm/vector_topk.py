@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.llm.common import mix64
+
 #: Vectors of one block: what a task holds of the table at once.
 BLOCK_ROWS = 4096
 #: Queries of one block.
@@ -65,7 +67,7 @@ def to_blocks(vectors: DataFrame, size: int, parts: int = 1) -> DataFrame:
                 {
                     "dim": [dim],
                     "block": [number],
-                    "part": [number % parts],
+                    "part": [int(mix64(np.array([number]))[0] % np.uint64(parts))],
                     "ids": [ids],
                     "vectors": [data],
                 },

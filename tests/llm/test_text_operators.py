@@ -286,13 +286,45 @@ def test_scores_of_awkward_documents(docs, no_docs):
         for _, text in texts_of(docs):
             tokens = [*text.lower().split(), b""]
             base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in tokens)
-            by_text[len(tokens), sum(w in counts for w in tokens), round(base, 2)] += 1
-        assert by_text == Counter((r.n_tokens, r.n_known, round(r.base_score, 2)) for r in found)
+            by_text[len(tokens), sum(w in counts for w in tokens), round(base, 8)] += 1
+        assert by_text == Counter((r.n_tokens, r.n_known, round(r.base_score, 8)) for r in found)
         assert all(math.isfinite(r.score) and r.score < 0 for r in found)
     model, words = lm_scoring.train(no_docs, VOCABULARY)
     assert lm_scoring.score_documents(docs, model, words, VOCABULARY).count() == docs.count()
 
 
+def test_very_long_words_are_scored_in_logs(docs):
+    """A word of 10,000 bytes has the logarithm of its segmentations' sum, no floor."""
+    model, _ = lm_scoring.train(docs, VOCABULARY)
+    words = [b"x" * 5000, b"x" * 10_000, b"never seen"]
+    found = model.scores(words, np.zeros((3, len(model.shares))), VOCABULARY.trie)
+    spelled = pieces.marginals([b" " + w for w in words], VOCABULARY.trie, model.log_probs)
+    exact = (spelled + np.log(model.discounts * model.kinds) - np.log(model.totals)) / np.log(10)
+    assert np.allclose(found, exact) and (found[1] < 1.9 * found[0]).all() and (found[0] < -300).all()
+
+
+def test_the_gradient_of_the_ordinal_fit_vanishes():
+    draw = np.random.default_rng(5)
+    rows = [np.flatnonzero(draw.random(6) < 0.4) for _ in range(300)]
+    grades = np.array([min(2, int((r < 2).sum() + draw.integers(0, 2))) for r in rows])
+
+    def loss(weights, bounds, l2=0.05):
+        edges = np.concatenate([[-np.inf], bounds, [np.inf]])
+        score = np.array([weights[r].sum() for r in rows])
+        mass = toxicity._logistic(edges[grades + 1] - score) - toxicity._logistic(edges[grades] - score)
+        return -np.log(mass).mean() + l2 / 2 * (weights**2).sum()
+
+    weights, bounds = toxicity.fit_ordinal(rows, grades, 6, l2=0.05, steps=2000, rate=0.02)
+    for i in range(6):
+        step = np.eye(6)[i] * 1e-4
+        slope = (loss(weights + step, bounds) - loss(weights - step, bounds)) / 2e-4
+        assert abs(slope) < 2e-3
+    for i in range(2):
+        step = np.eye(2)[i] * 1e-4
+        assert abs(loss(weights, bounds + step) - loss(weights, bounds - step)) / 2e-4 < 2e-3
+    assert toxicity.choose_l2(rows, grades, 6) in toxicity.PENALTIES
+
+
 def test_segmentations_are_distinct_and_spell_the_text(docs, no_docs):
     texts = {}
     for doc_id, text in texts_of(docs):
@@ -301,7 +333,9 @@ def test_segmentations_are_distinct_and_spell_the_text(docs, no_docs):
     seen = Counter()
     for r in rows:
         assert sampling.decode_ids(r.ids, VOCABULARY) == texts[r.doc_id]
-        assert 0 < r.inclusion <= 1 and r.log_prob <= 1e-9
+        assert 0 <= r.inclusion <= 1 and r.log_prob <= 1e-9
+        assert math.isfinite(r.log_inclusion) and r.log_inclusion <= 0
+        assert r.inclusion == pytest.approx(math.exp(r.log_inclusion), abs=1e-12)
         seen[r.doc_id, bytes(r.ids)] += 1
     assert set(seen.values()) == {1}
     assert Counter(r.doc_id for r in rows)[4] == 1
