@@ -15,25 +15,52 @@ MAX_BITS_PER_BYTE = 7.0
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
+def _carried(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """What a model reads of documents, beside all their columns under names of our own,
+    so that no column of theirs meets one of the model's."""
+    names = [f"carried_{i}" for i in range(len(docs.columns))]
+    own = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    return docs.select("doc_id", "text", "lang", *own), names
+
+
+def _restored(rows: DataFrame, names: list[str], docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model, fitted on the labelled ones, finds not toxic."""
+    """Documents that the severity model, fitted on the labelled ones, finds not toxic.
+
+    A null or empty text is not toxic, nor is any text without both kinds of labels.
+    Repeated rows stay or go alike; extra columns pass whatever their names; an empty
+    table stays empty.
+    """
     ship_package(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    others = [c for c in docs.columns if c != "doc_id"]
-    return toxicity.score_severity(docs, model, others).where(~F.col("toxic")).select(*docs.columns)
+    rows, names = _carried(docs)
+    return _restored(toxicity.score_severity(rows, model, names).where(~F.col("toxic")), names, docs)
 
 
 def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters that read like one of the learned languages."""
+    """Documents with letters that read like one of the learned languages.
+
+    Null and empty texts and those without a letter go, and all of them where no document
+    names a language. Repeated rows stay or go alike; extra columns pass whatever their
+    names; an empty table stays empty.
+    """
     ship_package(spark)
-    others = [c for c in docs.columns if c != "doc_id"]
-    known = language_id.predict_languages(docs, language_id.learn(docs), others)
+    rows, names = _carried(docs)
+    known = language_id.predict_languages(rows, language_id.learn(docs), names)
     readable = F.col("bits_per_byte") <= MAX_BITS_PER_BYTE
-    return known.where((F.col("lang_pred") != language_id.UNDETERMINED) & readable).select(*docs.columns)
+    known = known.where((F.col("lang_pred") != language_id.UNDETERMINED) & readable)
+    return _restored(known, names, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
+    """The document with the smallest id of every group of near duplicates.
+
+    Texts without words and rows without doc_id stay; rows that repeat a doc_id stay or
+    go alike; extra columns pass whatever their names; an empty table stays empty.
+    """
     ship_package(spark)
     found = near_dedup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
@@ -44,18 +71,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that start in an earlier one; ``n_chars`` follows.
 
-    A character that is cut in two goes as a whole. A document may end up empty; it
-    stays, since nothing of it was wrong. A null text stays null.
+    A character that is cut in two goes as a whole, all others stay as they are. A
+    document may end up empty; it stays, since nothing of it was wrong. A null text stays
+    null. Rows without doc_id stay whole unless an earlier document holds a passage of
+    theirs; extra columns pass whatever their names; an empty table stays empty.
     """
     ship_package(spark)
-    kept = suffix_dedup.remove_repeated_passages(docs).select("row_id", "kept")
-    rows = docs.withColumn("row_id", F.monotonically_increasing_id())
-    rows = rows.withColumn("had_text", F.col("text").isNotNull()).drop("text")
-    whole = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    joined = rows.hint("merge").join(kept, "row_id").withColumn("text", F.when(F.col("had_text"), whole))
+    found = suffix_dedup.remove_repeated_passages(docs).select("row_id", "spans")
+    found = found.where(F.size("spans") > 0)
+    rows, names = _carried(docs)
+    rows = rows.select(F.monotonically_increasing_id().alias("row_id"), "text", *names)
+    cut = rows.hint("merge").join(found, "row_id", "left")
+    without = F.udf(suffix_dedup.without_spans, "string", useArrow=True)
+    cut = cut.withColumn("whole", without("text", "spans"))
+    new = {names[docs.columns.index("text")]: F.col("whole")}
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        new[names[docs.columns.index("n_chars")]] = F.length("whole").cast(kind)
+    return _restored(cut.withColumns(new), names, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
