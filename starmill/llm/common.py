@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +18,8 @@ from pyspark.sql.types import StructField, StructType
 
 from starmill.session import shared_dir
 
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 #: Rows of a result batch that a Python task hands back to Spark at once.
 OUT_ROWS = 4096
 
@@ -70,6 +74,32 @@ def mix64(values: np.ndarray, seed: int = 0) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Give the memory that a finished task has freed back to the machine.
+
+    Spark reuses its Python workers for the tasks of later stages; what a worker's
+    allocators keep would add up beside the executor's heap.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def releasing(step: Step) -> Step:
+    """A step over record batches that releases its memory when it ends."""
+
+    @functools.wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 class Carried:
     """Columns that pass through a Python stage unseen, whatever their names."""
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import Carried
+from starmill.llm.common import Carried, releasing
 from starmill.llm.shingles import text_bytes
 
 UNDETERMINED = "und"
@@ -206,7 +206,7 @@ def learn(
                     )
 
     counted = (
-        rows.mapInArrow(count, "lang string, context int, gram long, n long")
+        rows.mapInArrow(releasing(count), "lang string, context int, gram long, n long")
         .groupBy("lang", "context", "gram")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -259,5 +259,5 @@ def predict_languages(docs: DataFrame, trees: ContextTrees | None, keep: list[st
             }
             yield pa.RecordBatch.from_pydict(columns | carried.of(batch))
 
-    found = rows.mapInArrow(predict, carried.schema(PREDICTED))
+    found = rows.mapInArrow(releasing(predict), carried.schema(PREDICTED))
     return carried.renamed(found, ["doc_id", "lang_pred", "score", "bits_per_byte"])

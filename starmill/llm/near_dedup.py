@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import mix64, stored, utf8
+from starmill.llm.common import mix64, releasing, stored, utf8
 from starmill.llm.components import components
 from starmill.llm.shingles import set_digest, shingle_sets, similar, text_bytes
 
@@ -131,7 +131,7 @@ def sketch_documents(docs: DataFrame, words: int) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("text"))
-    return rows.mapInArrow(sketch, _SKETCHED)
+    return rows.mapInArrow(releasing(sketch), _SKETCHED)
 
 
 def _registers(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -147,7 +147,7 @@ def _banded(classes: DataFrame, percent: int) -> DataFrame:
             ids = np.repeat(batch.column("id").to_numpy(), keys.shape[1])
             yield pa.RecordBatch.from_pydict({"band": keys.ravel(), "id": ids})
 
-    return classes.select("id", "registers").mapInArrow(split, "band long, id long")
+    return classes.select("id", "registers").mapInArrow(releasing(split), "band long, id long")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -169,7 +169,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return (
         pairs.where(ratio)
         .select("a", "b", "n_a", "n_b", "r_a", "r_b")
-        .mapInArrow(estimate, "a long, b long")
+        .mapInArrow(releasing(estimate), "a long, b long")
     )
 
 
@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                     good.append(similar(ours, held, percent))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.select("a", "b", "t_a", "t_b").mapInArrow(verify, "a long, b long")
+    return pairs.select("a", "b", "t_a", "t_b").mapInArrow(releasing(verify), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
@@ -238,9 +238,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     links = stored(
         _verified(_likely(hubs, classes, percent), texts, words, percent), "verified-links"
     )
-    rest = _rest(shared, _connected(links), texts, words, percent)
+    families = stored(_connected(links), "families")
+    rest = _rest(shared, families, texts, words, percent)
     more = _verified(_likely(rest, classes, percent), texts, words, percent)
-    joined = links.union(more)
+    joined = families.select(F.col("id").alias("a"), F.col("family").alias("b")).union(more)
     # Rows of one class, and those of one doc_id, belong together.
     members = classes.select("id", *digest).join(real.select("doc_id", *digest), digest)
     joined = joined.union(members.select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
@@ -311,7 +312,7 @@ def _apart_from_hub(contexts: DataFrame, texts: DataFrame, words: int) -> DataFr
                 columns["apart"] = pa.array(apart, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return contexts.select(*through, "t_a", "t_b").mapInArrow(compare, _APART)
+    return contexts.select(*through, "t_a", "t_b").mapInArrow(releasing(compare), _APART)
 
 
 def _around_consensus(rows: DataFrame, ratio: float) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import Carried
+from starmill.llm.common import Carried, releasing
 
 
 #: Labelled documents per value of the label that the model is fitted on.
@@ -175,7 +175,7 @@ def train(
     sample = docs.select(F.col("doc_id").cast("long"), _lower_utf8()).join(
         F.broadcast(chosen), "doc_id"
     ).select("toxic", "data")
-    extracted = sample.mapInArrow(_extract(None), _EXTRACTED)
+    extracted = sample.mapInArrow(releasing(_extract(None)), _EXTRACTED)
     total = F.sum(F.lit(1))
     counted = (
         extracted.select("toxic", F.explode("features").alias("feature"))
@@ -191,7 +191,7 @@ def train(
     best = counted.orderBy(F.desc(contrast), "feature").limit(max_features).collect()
     selected = {row["feature"]: i for i, row in enumerate(best)}
     markers = {i for i, row in enumerate(best) if row["toxic"] >= MARKER_SHARE * row["n"]}
-    rows = sample.mapInArrow(_extract(selected, markers), _EXTRACTED).collect()
+    rows = sample.mapInArrow(releasing(_extract(selected, markers)), _EXTRACTED).collect()
     rows.sort(key=lambda r: (r["toxic"], r["features"], r["share"]))
     toxic = np.array([r["toxic"] for r in rows])
     share = np.array([r["share"] for r in rows])
@@ -269,6 +269,6 @@ def score_severity(docs: DataFrame, model: SeverityModel | None, keep: list[str]
             }
             yield pa.RecordBatch.from_pydict(columns | carried.of(batch))
 
-    scored = rows.mapInArrow(score, carried.schema(SCORED))
+    scored = rows.mapInArrow(releasing(score), carried.schema(SCORED))
     own = ["doc_id", "severity", "grade", "toxic_probability", "toxic"]
     return carried.renamed(scored, own)
