@@ -25,7 +25,7 @@ from tests.conftest import plan, review, rows
 
 
 def test_reduction_keeps_all_that_join_and_few_others(spark):
-    facts = spark.range(20_000).select((F.col("id") % 10_000).alias("k"), F.col("id").alias("v")).repartition(5)
+    facts = spark.range(20_000).select((F.col("id") % 10_000).alias("k"), F.col("id").alias("v"))
     lookup = spark.range(0, 10_000, 5).select(F.col("id").alias("k"))
     kept = reduce_by_keys(facts, lookup, "k")
     assert kept.join(lookup, "k", "left_semi").count() == 4000
