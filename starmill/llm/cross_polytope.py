@@ -11,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import mix64
+from starmill.llm.common import mix64, stored
 from starmill.llm.vector_topk import usable
 
 #: Rows of a bucket that meet in one task; larger buckets are dealt over several.
 BUCKET_ROWS = 4096
 ROTATIONS = 3
+#: Vectors that a query should meet in every table and norm band; it looks into all
+#: buckets of bands with fewer.
+LEAST_MET = 128
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -59,44 +62,73 @@ def nearest_axes(rows: np.ndarray, probes: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Hashing:
-    """Shape of the index. ``longest`` is the largest norm, or None if all norms agree.
+    """Shape of the index: within a norm band, inner products order much like angles.
 
-    Inner products order like angles once every vector, divided by the largest norm,
-    is lifted onto the unit sphere by one more coordinate, where queries have 0.
-    ``probe_share`` is the share of a table's buckets that a query looks into.
+    ``probe_share`` is the share of a table's buckets that a query looks into, ``sizes``
+    holds the number of vectors of every (length, norm band). A band that a query looks
+    into as a whole needs one table only.
     """
 
     tables: int
     probe_share: float
     seed: int
-    longest: float | None
-
-    def placed(self, rows: np.ndarray, lift: bool) -> np.ndarray:
-        n, dim = rows.shape
-        needed = dim + (self.longest is not None)
-        width = 1 << max(1, (needed - 1).bit_length())
-        out = np.zeros((n, width))
-        norms = np.linalg.norm(rows, axis=1, keepdims=True)
-        if self.longest is None or not lift:
-            out[:, :dim] = rows / norms
-        else:
-            out[:, :dim] = rows / self.longest
-            out[:, dim] = np.sqrt(np.maximum(0.0, 1.0 - (norms[:, 0] / self.longest) ** 2))
-        return out
-
-
-BUCKETED = "dim int, bucket int, vec_id long, vector binary"
+    sizes: dict[tuple[int, int], int]
+
+    def probes(self, dim: int, band: int) -> int | None:
+        """Buckets of a table that a query looks into, None for all of them."""
+        n, buckets = self.sizes[dim, band], 2 * _width(dim)
+        wanted = max(1, round(buckets * max(self.probe_share, LEAST_MET / n)))
+        return wanted if wanted < buckets else None
+
+
+def _width(dim: int) -> int:
+    return 1 << max(1, (dim - 1).bit_length())
+
+
+def directions(rows: np.ndarray) -> np.ndarray:
+    """Unit vectors, padded to a power of two."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)  # squares stay in range
+    out = np.zeros((len(rows), _width(rows.shape[1])))
+    out[:, : rows.shape[1]] = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    return out
+
+
+KEY = ["dim", "band", "bucket"]
+BUCKETED = "dim int, band int, bucket int, vec_id long, vector binary"
 _ARROW = pa.schema(
-    [("dim", pa.int32()), ("bucket", pa.int32()), ("vec_id", pa.int64()), ("vector", pa.binary())]
+    [
+        ("dim", pa.int32()),
+        ("band", pa.int32()),
+        ("bucket", pa.int32()),
+        ("vec_id", pa.int64()),
+        ("vector", pa.binary()),
+    ]
 )
 
 
 def _bucketed(vectors: DataFrame, hashing: Hashing, probing: bool) -> DataFrame:
     """A row for every bucket that a vector lies in, or that a query looks into."""
+    bands: dict[int, list[int]] = {}
+    for dim, band in hashing.sizes:
+        bands.setdefault(dim, []).append(band)
+
+    def rows_of(dim, band, number, ids, packed) -> pa.RecordBatch:
+        repeat = np.repeat(np.arange(len(ids)), number.shape[1])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(repeat), dim, np.int32)),
+                pa.array(np.full(len(repeat), band, np.int32)),
+                pa.array(number.ravel().astype(np.int32)),
+                pa.array(ids[repeat]),
+                pa.array([packed[i] for i in repeat], pa.binary()),
+            ],
+            schema=_ARROW,
+        )
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+            band_of = batch.column("band").to_numpy(zero_copy_only=False)
             column = batch.column("vector")
             offsets = column.offsets.to_numpy()
             flat = column.values.to_numpy(zero_copy_only=False)
@@ -105,26 +137,23 @@ def _bucketed(vectors: DataFrame, hashing: Hashing, probing: bool) -> DataFrame:
                 rows = np.flatnonzero(lengths == dim)
                 data = flat[offsets[rows][:, None] + np.arange(dim)]
                 packed = [row.tobytes() for row in data.astype("<f8")]
-                placed = hashing.placed(data, lift=not probing)
-                buckets = 2 * placed.shape[1]
+                unit = directions(data)
+                buckets = 2 * unit.shape[1]
                 for table in range(hashing.tables):
-                    turned = rotated(placed, table, hashing.seed)
-                    if probing:
-                        probes = max(1, round(hashing.probe_share * buckets))
-                        axes = nearest_axes(turned, probes)
-                    else:
-                        axes = nearest_axis(turned)[:, None]
-                    number = (table * buckets + axes).astype(np.int32)
-                    repeat = np.repeat(np.arange(len(rows)), number.shape[1])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(repeat), dim, np.int32)),
-                            pa.array(number.ravel()),
-                            pa.array(ids[rows][repeat]),
-                            pa.array([packed[i] for i in repeat], pa.binary()),
-                        ],
-                        schema=_ARROW,
-                    )
+                    turned = rotated(unit, table, hashing.seed)
+                    for band in bands.get(int(dim), []):
+                        probes = hashing.probes(int(dim), band)
+                        if probes is None and table:
+                            continue
+                        if not probing:
+                            own = np.flatnonzero(band_of[rows] == band)
+                            axes = nearest_axis(turned[own])[:, None]
+                        else:
+                            own = np.arange(len(rows))
+                            axes = nearest_axes(turned, probes or buckets)
+                        if len(own):
+                            number = table * buckets + axes
+                            yield rows_of(dim, band, number, ids[rows[own]], [packed[i] for i in own])
 
     return vectors.mapInArrow(assign, BUCKETED)
 
@@ -177,33 +206,60 @@ def nearest_products(
 ) -> DataFrame:
     """The k largest inner products found for every query: query_id, rank, vec_id, score.
 
-    ``vectors`` and ``queries`` hold ``vec_id`` and ``vector``. Every vector lies in one
-    bucket per table, that of the signed axis nearest to it after a pseudo-random
-    rotation; a query looks into the buckets of its ``probe_share`` nearest axes in
-    every table, and all vectors there are ranked by their exact product in double
-    precision. A bucket of many vectors or queries is dealt over several tasks in
-    blocks of about ``bucket_rows``, all of which are met.
+    ``vectors`` and ``queries`` hold ``vec_id`` and ``vector``. Vectors whose norms lie
+    within half a power of two are a band with an index of its own, so that long vectors
+    hide no short ones and no other way round. A vector lies in one bucket per table,
+    that of the signed axis nearest to its direction after a pseudo-random rotation; a
+    query looks into the buckets of its ``probe_share`` nearest axes in every table of
+    every band, and all vectors there are ranked by their exact product in double
+    precision. Bands of few vectors are looked through whole (``LEAST_MET``), and so is
+    the table by queries that were left with fewer than k neighbours. A bucket of many
+    vectors or queries is dealt over several tasks in blocks of about ``bucket_rows``,
+    all of which are met.
 
     Which neighbours are found depends on the tables and probes; scores are exact and
-    ties go to the smaller ``vec_id``. A query never finds its own id. Vectors that are
-    null, zero or hold null or non-finite components take no part, nor do rows without
-    an id or vectors of another length than the query's. Rows that repeat an id count
-    once, by the larger score. Empty tables give no rows.
+    ties go to the smaller ``vec_id``. A query never finds its own id, and finds fewer
+    than k only where there are no more. Vectors that are null, zero or hold null or
+    non-finite components take no part, nor do rows without an id or vectors of another
+    length than the query's. Rows that repeat an id count once, by the larger score.
+    Empty tables give no rows.
     """
     vectors, queries = (_valid(t) for t in (vectors, queries))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    span = vectors.agg(F.min(norm).alias("low"), F.max(norm).alias("high")).first()
-    same = span["high"] is None or span["high"] - span["low"] <= 1e-5 * span["high"]
-    hashing = Hashing(tables, probe_share, seed, None if same else span["high"])
+    # One number per length and band, of which doubles have some 4,200.
+    counts = vectors.groupBy(F.size("vector").alias("dim"), "band").count().collect()
+    sizes = {(r["dim"], r["band"]): r["count"] for r in counts}
+    hashing = Hashing(tables, probe_share, seed, sizes)
+    found = _met(vectors, queries, hashing, k, bucket_rows)
+    partly = sorted({dim for dim, band in sizes if hashing.probes(dim, band) is not None})
+    if partly:
+        found = stored(found, "approximate-neighbours")
+        enough = found.groupBy("query_id").count().where(F.col("count") >= k)
+        short = queries.where(F.size("vector").isin(partly)).join(
+            enough, queries["vec_id"] == enough["query_id"], "left_anti"
+        )
+        if not short.isEmpty():
+            whole = Hashing(1, 1.0, seed, sizes)
+            found = found.unionByName(_met(vectors, short, whole, k, bucket_rows))
+            found = _first(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+    return found
+
+
+def _met(
+    vectors: DataFrame, queries: DataFrame, hashing: Hashing, k: int, bucket_rows: int
+) -> DataFrame:
+    """The k best of what every query meets in the buckets that it looks into."""
     held, asked = _bucketed(vectors, hashing, False), _bucketed(queries, hashing, True)
     held, asked = _dealt(held, asked, bucket_rows)
-    key = ["dim", "bucket", "held_part", "asked_part"]
+    key = [*KEY, "held_part", "asked_part"]
     found = (
         asked.groupBy(*key)
         .cogroup(held.groupBy(*key))
         .applyInPandas(_rerank(k), "query_id long, vec_id long, score double")
     )
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return _first(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+
+
+def _first(once: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         once.withColumn("rank", F.row_number().over(order))
@@ -213,26 +269,30 @@ def nearest_products(
 
 
 def _valid(table: DataFrame) -> DataFrame:
+    """Usable rows with the band of their norm, in half powers of two."""
     vector = F.col("vector").cast("array<double>")
-    zero = ~F.exists("vector", lambda x: x != 0)
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))
+    band = F.floor(2 * F.log2(largest) + F.log2(squares) + 0.5).cast("int")
     return (
         table.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
         .select(F.col("vec_id").cast("long"), vector.alias("vector"))
-        .where(~zero)
+        .where(F.exists("vector", lambda x: x != 0))
+        .withColumn("band", band)
     )
 
 
 def _dealt(held: DataFrame, asked: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Give both sides block numbers, so that every pair of blocks of a bucket meets.
 
-    The sizes come to one row per bucket and dimension: twice the width times the
-    tables, however many vectors there are, which is what makes the broadcast small.
+    The sizes come to one row per bucket of a band and dimension: twice the width times
+    the tables, however many vectors there are, which is what makes the broadcast small.
     """
     sizes = None
     for side, name in ((held, "held"), (asked, "asked")):
         parts = F.ceil(F.count("*") / F.lit(rows)).cast("int")
-        own = side.groupBy("dim", "bucket").agg(parts.alias(f"{name}_parts"))
-        sizes = own if sizes is None else sizes.join(own, ["dim", "bucket"])
+        own = side.groupBy(*KEY).agg(parts.alias(f"{name}_parts"))
+        sizes = own if sizes is None else sizes.join(own, KEY)
     sizes = F.broadcast(sizes)
 
     def block(name: str):
@@ -241,9 +301,9 @@ def _dealt(held: DataFrame, asked: DataFrame, rows: int) -> tuple[DataFrame, Dat
     def every(name: str):
         return F.explode(F.sequence(F.lit(0), F.col(f"{name}_parts") - 1))
 
-    columns = ["dim", "bucket", "held_part", "asked_part", "vec_id", "vector"]
-    held = held.join(sizes, ["dim", "bucket"]).withColumn("held_part", block("held"))
-    asked = asked.join(sizes, ["dim", "bucket"]).withColumn("asked_part", block("asked"))
+    columns = [*KEY, "held_part", "asked_part", "vec_id", "vector"]
+    held = held.join(sizes, KEY).withColumn("held_part", block("held"))
+    asked = asked.join(sizes, KEY).withColumn("asked_part", block("asked"))
     return (
         held.withColumn("asked_part", every("asked")).select(*columns),
         asked.withColumn("held_part", every("held")).select(*columns),
