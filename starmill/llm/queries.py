@@ -111,18 +111,30 @@ def op3_toxicity(spark, sf_dir):
 LINE_DEDUP = r"""
     WITH lines AS (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-               unnest(range(len(string_split(text, chr(10))))) AS unit
+               unnest(range(len(string_split(text, chr(10))))) AS number
         FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
-    ), units AS (
-        SELECT doc_id, CAST(unit AS INTEGER) AS unit, length(line) AS size,
-               CAST(SUM(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) AS INTEGER) AS after,
-               regexp_extract_all(lower(line), '[\p{L}\p{N}_]+') AS words
+    ), cut AS (
+        SELECT doc_id, number, CASE WHEN length(line) < 40 THEN [line]
+            ELSE regexp_extract_all(line, '.{20,}?(?:[.!?]+[ \t]+|[。！？]+)|.+', 0, 's') END AS parts
         FROM lines
+    ), joined AS (
+        SELECT doc_id, number, CASE WHEN len(parts) > 1 AND length(parts[-1]) < 20
+            THEN list_append(parts[:-3], parts[-2] || parts[-1]) ELSE parts END AS parts
+        FROM cut
+    ), pieces AS (
+        SELECT doc_id, number, unnest(parts) AS piece, unnest(range(len(parts))) AS place,
+               len(parts) - 1 AS last FROM joined
+    ), units AS (
+        SELECT doc_id, length(piece) AS size, regexp_extract_all(lower(piece), '[\p{L}\p{M}\p{N}_]+') AS words,
+               CAST(row_number() OVER upto - 1 AS INTEGER) AS unit,
+               SUM(length(piece) + CASE WHEN place = last THEN 1 ELSE 0 END) OVER upto
+                   - CASE WHEN place = last THEN 1 ELSE 0 END AS after
+        FROM pieces WINDOW upto AS (PARTITION BY doc_id ORDER BY number, place ROWS UNBOUNDED PRECEDING)
     ), ranked AS (
         SELECT *, min(struct_pack(d := doc_id, u := unit)) OVER (PARTITION BY array_to_string(words, ' ')) AS first
-        FROM units WHERE len(words) >= 5
+        FROM units WHERE len(words) >= 1
     )
-    SELECT doc_id, unit, CAST(after - size - 1 AS INTEGER) AS start, CAST(after - 1 AS INTEGER) AS "end",
+    SELECT doc_id, unit, CAST(after - size AS INTEGER) AS start, CAST(after AS INTEGER) AS "end",
            first.d AS first_doc_id, first.u AS first_unit
     FROM ranked WHERE doc_id <> first.d OR unit <> first.u
 """
@@ -130,7 +142,7 @@ LINE_DEDUP = r"""
 
 @query("op4_line_dedup", LINE_DEDUP)
 def op4_line_dedup(spark, sf_dir):
-    return line_dedup.repeated_units(table(spark, sf_dir, "documents"))
+    return line_dedup.repeated_units(table(spark, sf_dir, "documents"), by="sentence")
 
 
 @query("op1_lattice_likelihood")

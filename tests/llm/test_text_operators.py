@@ -205,16 +205,49 @@ def test_merging_runs_is_sorting():
     assert [shared for shared, *_ in merged] == common_prefixes(rows).tolist()
 
 
-def test_lines(docs, no_docs):
+@pytest.mark.parametrize("by", ["line", "sentence", "paragraph"])
+def test_units(docs, no_docs, by):
     seen, expected = {}, set()
     rows = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None and r.text)
     for doc_id, text in rows:
-        for unit, (a, b) in enumerate(line_dedup.units_of(text, "line")):
+        for unit, (a, b) in enumerate(line_dedup.units_of(text, by)):
             words = tuple(line_dedup.normalised(text[a:b]))
-            if len(words) >= 5 and seen.setdefault(words, (doc_id, unit)) != (doc_id, unit):
+            if words and seen.setdefault(words, (doc_id, unit)) != (doc_id, unit):
                 expected.add((doc_id, unit, a, b, *seen[words]))
-    assert {tuple(r) for r in line_dedup.repeated_units(docs).collect()} == expected
-    assert line_dedup.repeated_units(no_docs).count() == 0
+    assert expected
+    assert {tuple(r) for r in line_dedup.repeated_units(docs, by).collect()} == expected
+    assert line_dedup.repeated_units(no_docs, by).count() == 0
+
+
+def test_sentences_tile_their_lines():
+    draw = random.Random(9)
+    for _ in range(300):
+        text = "".join(draw.choices(["a", "bc ", "! ", ". ", ".", "\n", "。", "long words here "], k=60))
+        lines = [text[a:b] for a, b in line_dedup.units_of(text, "line")]
+        spans = list(line_dedup.units_of(text, "sentence"))
+        assert "".join(text[a:b] for a, b in spans) == "".join(lines)
+        for line in lines:
+            a = sum(map(len, lines[: lines.index(line)])) + lines.index(line)
+            own = [e - s for s, e in spans if a <= s and e <= a + len(line)]
+            assert len(own) <= 1 or min(own) >= line_dedup.MIN_CHARS
+
+
+def test_passages_are_caught_inside_lines_and_short_lines_whole(spark):
+    passage = ". ".join(prose(70 + i, 9).capitalize() for i in range(7)) + ". "
+    thai = "ภาษาไทยไม่มีช่องว่างระหว่างคำ"
+    texts = [
+        prose(80) + ". " + passage + prose(81),
+        prose(82) + ". " + passage + prose(83) + "\nAll rights reserved\n" + thai,
+        "all rights  reserved!\n" + thai + "\n" + thai.replace("ไ", "ใ") + "\nNo. Yes.\nNo. Yes.",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = {}
+    for r in line_dedup.repeated_units(df, "sentence").collect():
+        gone[r.doc_id] = gone.get(r.doc_id, "") + texts[r.doc_id][r.start : r.end]
+    assert sorted(gone) == [1, 2]
+    # All but the end, which goes on differently, goes.
+    assert len(gone[1]) >= len(passage) * 0.9 and gone[1] in passage
+    assert len(gone[2]) == len("all rights  reserved!" + thai + "No. Yes.")
 
 
 def test_language_of_every_row(docs, no_docs, spark):
