@@ -19,8 +19,8 @@ UNDETERMINED = "und"
 MAX_ORDER = 3
 #: Labelled documents per language that the statistics are taken from, whole texts.
 TRAIN_DOCS = 300
-#: Languages with the most labelled documents that are learned.
-MAX_LANGUAGES = 64
+#: Labelled documents that all languages share, once there are so many that each gets fewer.
+TRAIN_TOTAL = 9600
 #: Positions worked on at once, so that a long text needs no more memory.
 WINDOW = 1 << 18
 
@@ -165,25 +165,26 @@ def _lower_bytes():
 
 
 def learn(
-    labelled: DataFrame, train_docs: int = TRAIN_DOCS, max_languages: int = MAX_LANGUAGES
+    labelled: DataFrame, train_docs: int = TRAIN_DOCS, train_total: int = TRAIN_TOTAL
 ) -> ContextTrees | None:
-    """Context statistics from at most ``train_docs`` documents per language.
+    """Context statistics of every language, from at most ``train_docs`` documents each.
 
     ``labelled`` holds doc_id, text, lang. The documents are those with the smallest
-    hashed ids; their whole texts count. None when nothing is labelled.
+    hashed ids; their whole texts count. Many languages share ``train_total`` documents,
+    at least one each. None when nothing is labelled.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    languages = rows.agg(F.count_distinct("lang")).first()[0]
+    each = max(1, min(train_docs, train_total // max(languages, 1)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # At most the larger of train_total ids and one per language.
     chosen = (
         rows.select("doc_id", "lang")
         .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= train_docs)
+        .where(F.col("rank") <= each)
         .select("doc_id", "lang")
         .distinct()
     )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    # At most max_languages * train_docs ids.
-    chosen = chosen.join(F.broadcast(sizes.select("lang")), "lang")
     rows = rows.select("doc_id", "lang", _lower_bytes()).join(F.broadcast(chosen), ["doc_id", "lang"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

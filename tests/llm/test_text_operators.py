@@ -262,6 +262,17 @@ def test_language_of_every_row(docs, no_docs, spark):
     assert {r.lang_pred for r in language_id.predict_languages(docs, None).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More languages than may have all their documents: each keeps at least one."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"{letters[i % 26]}{letters[i // 26 % 4]}" * 30, f"l{i % 104:03}") for i in range(312)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = language_id.learn(df, train_docs=3, train_total=50)
+    assert trees.languages == sorted({lang for _, _, lang in rows})
+    found = {r.doc_id: r.lang_pred for r in language_id.predict_languages(df, trees).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
 def test_code_lengths_are_those_of_partial_matching():
     import pandas as pd
 
