@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,10 @@ from starmill.llm.common import mix64
 BLOCK_ROWS = 4096
 #: Queries of one block.
 QUERY_ROWS = 2048
-#: Bits of a cell number in every dimension.
+#: Bits of a cell number in every dimension, four at most: two dimensions share a byte.
 CELL_BITS = 4
+#: Blocks of vectors that one task meets at least, with room for 64 tasks, before there are more.
+PARTS, PART_BLOCKS = 64, 64
 #: Exact vectors read at a time while a query is refined.
 STEP = 64
 
@@ -98,36 +101,46 @@ class VectorApproximation:
     """Cell numbers of a block of integer vectors and bounds on inner products.
 
     Every dimension is cut into ``2**bits`` cells at quantiles of the block; a cell is
-    known by the smallest and largest value in it. Bounds are computed in double
-    precision with a margin for its rounding; scores are integers.
+    known by the smallest and largest value in it. Only the cell numbers are scanned for
+    bounds, two dimensions in a byte: a query turns its largest possible products into
+    tables of 256 sums, one per pair, in which every byte is looked up. Bounds are
+    computed in double precision with a margin for its rounding; scores are integers.
     """
 
     def __init__(self, vectors: np.ndarray, bits: int = CELL_BITS):
+        if not 1 <= bits <= 4:
+            raise ValueError(f"cells take one to four bits, not {bits}")
         self.vectors = vectors
         n, dim = vectors.shape
-        cells = 1 << bits
-        low, high = np.empty((cells, dim)), np.empty((cells, dim))
-        self.cells = np.empty((n, dim), np.uint8)
+        cells, pairs = 1 << bits, (dim + 1) // 2
+        self._low, self._high = np.zeros((2 * pairs, 16)), np.zeros((2 * pairs, 16))
+        self.cells = np.zeros((pairs, n), np.uint8)
         for d in range(dim):
             column = vectors[:, d]
             edges = np.quantile(column, np.arange(1, cells) / cells, method="lower")
             cell = np.searchsorted(edges, column, side="right").astype(np.uint8)
-            self.cells[:, d] = cell
-            low[:, d], high[:, d] = np.inf, -np.inf
-            np.minimum.at(low[:, d], cell, column)
-            np.maximum.at(high[:, d], cell, column)
-        empty = low > high
-        low[empty] = high[empty] = 0
-        columns = np.arange(dim)
-        self._middle = ((low + high) / 2)[self.cells, columns]
-        self._radius = ((high - low) / 2)[self.cells, columns]
+            self.cells[d // 2] |= cell << np.uint8(4 * (d % 2))
+            low, high = np.full(16, np.inf), np.full(16, -np.inf)
+            np.minimum.at(low, cell, column)
+            np.maximum.at(high, cell, column)
+            used = low <= high
+            self._low[d, used], self._high[d, used] = low[used], high[used]
 
     def upper_bounds(self, queries: np.ndarray) -> np.ndarray:
         """A bound from above on every (query, vector) inner product."""
-        q = queries.astype(float)
-        bound = q @ self._middle.T + np.abs(q) @ self._radius.T
-        size = np.abs(q) @ (np.abs(self._middle) + self._radius).T
-        return bound + size * 1e-12
+        out = np.zeros((len(queries), self.cells.shape[1]))
+        for query, bounds in zip(queries.astype(float), out, strict=True):
+            q = np.zeros((len(self._low), 1))
+            q[: len(query), 0] = query
+            low, high = q * self._low, q * self._high
+            most = np.maximum(low, high)
+            size = np.maximum(np.abs(low), np.abs(high)).max(axis=1).sum()
+            # The odd dimension of a pair is in the upper half of the byte.
+            pairs = (most[1::2, :, None] + most[0::2, None, :]).reshape(-1, 256)
+            for sums, byte in zip(pairs, self.cells, strict=True):
+                bounds += sums[byte]
+            bounds += size * 1e-12
+        return out
 
     def search(
         self, query: np.ndarray, bounds: np.ndarray, ids: np.ndarray, own: int | None, k: int
@@ -223,8 +236,9 @@ def top_k_products(
         F.col("ids").alias("query_ids"),
         F.col("vectors").alias("queries"),
     )
-    # Blocks are dealt over the tasks whichever dimension they have.
-    parts = 64
+    # Blocks are dealt over the tasks whichever dimension they have; tasks grow in number
+    # with the blocks, not in size.
+    parts = max(PARTS, math.ceil(vectors.count() / (block_rows * PART_BLOCKS)))
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     met = to_blocks(vectors, block_rows, parts).join(asked, ["dim", "part"])
     found = met.select("dim", "ids", "vectors", "query_ids", "queries").mapInPandas(

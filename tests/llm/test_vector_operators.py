@@ -47,12 +47,19 @@ def test_exact_search(table):
     assert sorted(found) == [*range(0, 300, 20), 420]
 
 
-def test_bounds_hold():
+@pytest.mark.parametrize("dim, bits", [(16, 4), (7, 3), (1, 1)])
+def test_bounds_hold_and_come_from_the_cells(dim, bits):
     draw = np.random.default_rng(3)
-    data = draw.integers(-200, 200, (500, 16))
-    queries = draw.integers(-200, 200, (20, 16))
-    bounds = vector_topk.VectorApproximation(data).upper_bounds(queries)
-    assert (bounds >= queries @ data.T - 1e-6).all()
+    data = draw.integers(-200, 200, (500, dim))
+    queries = draw.integers(-200, 200, (20, dim))
+    file = vector_topk.VectorApproximation(data, bits)
+    bounds = file.upper_bounds(queries)
+    # What is scanned takes half a byte for every dimension, and bounds are no looser
+    # than the cells are wide.
+    assert file.cells.dtype == np.uint8 and file.cells.nbytes == 500 * ((dim + 1) // 2)
+    assert (bounds >= queries @ data.T).all()
+    widest = max(np.ptp(np.sort(data[:, d])[i : i + 500 // 2**bits + 30]) for d in range(dim) for i in range(500))
+    assert (bounds - queries @ data.T <= np.abs(queries).sum(axis=1, keepdims=True) * widest + 1).all()
 
 
 def recall(spark, data, k=20, **options):
