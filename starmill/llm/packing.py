@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 import os
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -34,8 +34,8 @@ _ARROW = pa.schema(
         ("offset", pa.int64()),
     ]
 )
-#: Distinct words whose ids a task remembers; beyond, it forgets them and starts anew.
-CACHED_WORDS = 600_000
+#: Distinct words whose ids a task remembers; beyond, it forgets those that it met once.
+CACHED_WORDS = 800_000
 #: Sequence ids leave room for this many sequences of one task.
 PER_TASK = 2**40
 
@@ -48,6 +48,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first looked up."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class WordCache:
     """Token ids of texts, encoding every distinct word between ASCII white space once.
 
@@ -82,12 +90,26 @@ class WordCache:
         return regex.compile(cutting[0]["pattern"]["Regex"]).findall
 
     def _clear(self) -> None:
-        self._index: dict[bytes, int] = {}
-        self._parts: dict[str, list[int]] = {}
+        self._index = _Numbers()
+        self._parts: dict[str, tuple[int, ...]] = {}
         self._starts = np.zeros(1, np.int64)
         self._flat = np.zeros(0, np.uint32)
+        self._met = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep what was met again, unless that is most of it."""
+        again = np.flatnonzero(self._met > 1)
+        words, starts, flat = list(self._index), self._starts, self._flat
+        self._clear()
+        if 2 * len(again) > self._limit:
+            return
+        self._index.update(zip([words[i] for i in again.tolist()], range(len(again))))
+        lengths = starts[again + 1] - starts[again]
+        self._starts = np.concatenate([self._starts, np.cumsum(lengths)])
+        self._flat = flat[_runs(starts[again], lengths)]
+        self._met = np.zeros(len(again), np.int64)
 
-    def _word(self, word: bytes) -> list[int]:
+    def _word(self, word: bytes) -> Sequence[int]:
         """Ids of one word."""
         if self._cut and word.isalpha():
             return self._part(word.lower().decode())
@@ -106,41 +128,49 @@ class WordCache:
             max(text) < "\u0250" and "\u0130" not in text and is_normalized("NFC", text)
         )
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> tuple[int, ...]:
         ids = self._parts.get(part)
         if ids is None:
-            letters = part.encode().decode("latin-1").translate(self._letters)
-            ids = self._parts[part] = [t.id for t in self._model.tokenize(letters)]
+            letters = part
+            if not part.isalpha() or not part.isascii():  # ASCII letters stand for themselves
+                letters = part.encode().decode("latin-1").translate(self._letters)
+            # Tuples of numbers are nothing that the collector of cycles has to look at again.
+            ids = self._parts[part] = tuple([t.id for t in self._model.tokenize(letters)])
         return ids
 
     def _learn(self, words: list[bytes]) -> None:
+        """Ids of words that follow the known ones in number."""
         ids = [self._word(w) for w in words]
-        self._index.update(zip(words, range(len(self._index), len(self._index) + len(words))))
-        ends = np.cumsum([len(x) for x in ids], dtype=np.int64) + self._starts[-1]
-        self._starts = np.concatenate([self._starts, ends])
-        new = np.fromiter(chain.from_iterable(ids), np.uint32)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._starts = np.concatenate([self._starts, np.cumsum(lengths) + self._starts[-1]])
+        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
         self._flat = np.concatenate([self._flat, new])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of every text, in order."""
+        if len(self._index) > self._limit:
+            self._forget()
         # Lower case ahead of the cache, unless it could make a special token.
         lower = self._cut is not None
         split = [(t.lower() if lower and b"<|" not in t else t).split() for t in texts]
-        new = set().union(*split).difference(self._index)
-        if len(new) + len(self._index) > self._limit:
-            self._clear()
-            new = set().union(*split)
-        if new:
-            self._learn(list(new))
-        return [self._ids(words) for words in split]
-
-    def _ids(self, words: list[bytes]) -> np.ndarray:
-        index = np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
-        starts = self._starts[index]
-        lengths = self._starts[index + 1] - starts
-        before = np.cumsum(lengths) - lengths
-        at = np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
-        return self._flat[at]
+        known, number = len(self._index), self._index.__getitem__
+        numbers = [np.fromiter(map(number, words), np.int64, len(words)) for words in split]
+        if len(self._index) > known:
+            self._learn(list(islice(self._index, known, None)))
+        met = np.bincount(np.concatenate([*numbers, self._met[:0]]), minlength=len(self._index))
+        met[: len(self._met)] += self._met
+        self._met = met
+        return [self._ids(n) for n in numbers]
+
+    def _ids(self, numbers: np.ndarray) -> np.ndarray:
+        starts = self._starts[numbers]
+        return self._flat[_runs(starts, self._starts[numbers + 1] - starts)]
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of runs, one run after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
 @cache

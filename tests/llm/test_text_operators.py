@@ -120,6 +120,17 @@ def test_word_cache_equals_the_tokenizer():
     assert [o.tolist() for o in ours] == [encode(t, add_special_tokens=False).ids for t in tricky]
 
 
+def test_word_cache_forgets_and_stays_right():
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(TOKENIZER).encode
+    cache = packing.WordCache(TOKENIZER, limit=60)
+    for seed in range(12):
+        texts = [prose(90 + seed % 5, 30), "the End, of it", "", prose(200 + seed, 12)]
+        ours = cache.encode([t.encode() for t in texts])
+        assert [o.tolist() for o in ours] == [encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def brute_components(docs, words, percent):
     sets: dict = {}
     for doc_id, text in texts_of(docs):
