@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 
 from starmill.llm.anchors import Anchors
 from starmill.llm.common import utf8
-from starmill.llm.runs import encode_run, merge_runs
+from starmill.llm.runs import Runs, encode_run, merged
 
 #: Bytes that must agree, and those of the run that anchors them.
 MATCH, GRAM = 50, 24
-#: Documents of a group that one task holds at once, and of which a range's runs come.
-GROUP_DOCS, RANGE_DOCS = 2048, 2048
-#: Groups of hash values.
-BUCKETS = 1024
+#: Parts into which groups of documents and ranges of suffixes cut all bytes, and how
+#: many bytes a group and a range have at least and at most, for what a task can hold.
+PARTS = 1024
+GROUP_BYTES, RANGE_BYTES = (4 << 20, 32 << 20), (4 << 20, 128 << 20)
+#: Text whose anchors make a bucket of hash values; buckets at least.
+BUCKET_BYTES, BUCKETS = 64 << 20, 1024
 #: Anchors that a task gathers before it hands on their hashes.
 GATHERED = 1_500_000
-#: Documents whose suffixes show how to cut the key space, and suffixes of each.
-SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 16
+#: Documents whose suffixes show how to cut the key space, at least and for each of the
+#: ranges, and suffixes of each.
+SAMPLE_DOCS, SAMPLE_RANGE_DOCS, SAMPLE_SUFFIXES = 2000, 1, 16
 _NO_ID = 2**63 - 1
 
 _PACKED = pa.schema([("grp", pa.int32()), ("blob", pa.binary())])
@@ -79,12 +82,13 @@ class _Texts:
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _codes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and code of a hash: 10 and 32 of its bits."""
-    return (hashes >> np.uint64(54)).astype(np.int32), (hashes >> np.uint64(22)).astype(np.uint32)
+def _codes(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and code of a hash: its first bits and the 32 that follow."""
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int32)
+    return bucket, (hashes >> np.uint64(32 - bits)).astype(np.uint32)
 
 
-def _anchor_hashes(docs: DataFrame, groups: int) -> DataFrame:
+def _anchor_hashes(docs: DataFrame, groups: int, bits: int) -> DataFrame:
     """Per bucket the codes of anchors, with the groups that they occur in.
 
     The sign of a group says that two documents of one task have the code already.
@@ -106,7 +110,7 @@ def _anchor_hashes(docs: DataFrame, groups: int) -> DataFrame:
             shared[of[1:][other]] = True
             keep = new | (np.diff(grp, prepend=-1) != 0)
             hashes, grp, shared = hashes[keep], grp[keep], shared[of[keep]]
-            bucket, code = _codes(hashes)
+            bucket, code = _codes(hashes, bits)
             groups_ = np.where(shared, ~grp, grp).astype("<i4")
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = np.append(cuts[1:], len(bucket))
@@ -177,8 +181,8 @@ def _repeated_codes(groups: int):
 
 
 def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> np.ndarray:
-    """Strings that cut the sorted suffixes into ranges, from a bounded sample. Which
-    documents it holds changes the balance of the tasks and nothing else."""
+    """Strings that cut the sorted suffixes into ranges, from a sample of so many for
+    each. Which documents it holds changes the balance of the tasks and nothing else."""
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,10 +192,11 @@ def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> np.ndarray:
                 found += [text[i : i + MATCH] for i in range(step // 2, len(text), step)][:SAMPLE_SUFFIXES]
             yield pa.RecordBatch.from_pydict({"suffix": pa.array(found, pa.binary())})
 
-    sample = docs.select(utf8().alias("text")).sample(min(1.0, SAMPLE_DOCS / max(1, n_docs)), seed=5)
-    found = sorted(bytes(r["suffix"]) for r in sample.mapInArrow(some, "suffix binary").collect())
-    cuts = [found[len(found) * i // ranges] for i in range(1, ranges)] if found else []
-    return np.array(cuts, f"S{MATCH}")
+    wanted = max(SAMPLE_DOCS, SAMPLE_RANGE_DOCS * ranges)
+    sample = docs.select(utf8().alias("text")).sample(min(1.0, wanted / max(1, n_docs)), seed=5)
+    found = sample.mapInArrow(some, "suffix binary").toArrow().column("suffix")
+    ordered = np.sort(np.array(found.to_pylist(), f"S{MATCH}"))
+    return ordered[len(ordered) * np.arange(1, ranges) // ranges] if len(ordered) else ordered
 
 
 def _runs(
@@ -296,7 +301,7 @@ def _contexts(texts: _Texts, anchors: Anchors, some: np.ndarray) -> np.ndarray:
     return rows
 
 
-def _context_runs(splitters: np.ndarray):
+def _context_runs(splitters: np.ndarray, bits: int):
     def make(key: tuple, packed: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
         """Runs of the contexts of anchors that two documents share. Of equal contexts
         only those of the smallest document go on; the others are settled here."""
@@ -311,7 +316,7 @@ def _context_runs(splitters: np.ndarray):
         )
         known.sort()
         anchors = Anchors.of(texts.data, texts.starts, GRAM, MATCH)
-        bucket, code = _codes(anchors.hashes(texts.data, GRAM))
+        bucket, code = _codes(anchors.hashes(texts.data, GRAM), bits)
         full = code.astype(np.uint64) | (bucket.astype(np.uint64) << np.uint64(32))
         at = np.minimum(np.searchsorted(known, full), len(known) - 1)
         some = np.flatnonzero(known[at] == full)
@@ -342,87 +347,74 @@ def _merged_contexts(splitters: np.ndarray):
         whole. The others hand on, as strings of their own, the windows that a
         neighbour of another context may share."""
         passed = frame["kind"] == REMOVED
-        blobs = list(frame.loc[~passed, "blob"])
-        gone: list[tuple] = []
-        strings: list[bytes] = []
-        places: list[tuple] = []
-        group: list[tuple] = []
-        before = _RIGHT  # unknown neighbours may share everything
-        context = b""
-
-        def close(after: int) -> None:
-            facts = [(*run.table[run.notes[0, i]].tolist(), *run.notes[1:, i].tolist()) for run, i in group]
-            least = min(f[0] for f in facts)
-            reach = min(_RIGHT, max(before, after))
-            for doc_id, row_id, grp, at, reach_back in facts:
-                nearest, furthest = divmod(reach_back, 256)
-                if doc_id != least:
-                    gone.append((row_id, at - furthest, at - nearest + MATCH, grp))
-                    continue
-                for a in range(max(nearest, MATCH - reach), furthest + 1):
-                    left = context[_RIGHT : _RIGHT + a][::-1]
-                    strings.append(left + context[: MATCH - a])
-                    places.append((doc_id, row_id, grp, at - a))
-
-        for shared, row, run, i in merge_runs(blobs):
-            if shared < _CONTEXT:
-                if group:
-                    close(shared)
-                    before = shared
-                group, context = [], row
-            group.append((run, i))
-        if group:
-            close(_RIGHT)
-        ranges = len(splitters) + 1
         out = [tuple(row) for row in frame[passed].itertuples(index=False)]
-        out += _gone_rows(gone, ranges)
-        if strings:
-            rows = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, MATCH)
-            facts = np.array(places, np.int64)
+        if passed.all():
+            return _frame(out)
+        runs = Runs(list(frame.loc[~passed, "blob"]))
+        order, shared = merged(runs)
+        facts = runs.table[runs.entry[order]]
+        at, back = (note[order] for note in runs.notes)
+        nearest, furthest = back // 256, back % 256
+        heads = np.flatnonzero(shared < _CONTEXT)
+        sizes = np.diff(np.append(heads, len(order)))
+        lost = facts[:, 0] != np.repeat(np.minimum.reduceat(facts[:, 0], heads), sizes)
+        # Neighbours beyond the range are unknown and may share everything.
+        before = np.append(_RIGHT, shared[heads[1:]])
+        reach = np.minimum(_RIGHT, np.maximum(before, np.append(before[1:], _RIGHT)))
+        ranges = len(splitters) + 1
+        out += _gone_rows(facts[lost], at[lost] - furthest[lost], at[lost] - nearest[lost] + MATCH, ranges)
+        low = np.maximum(nearest, MATCH - np.repeat(reach, sizes))
+        windows = np.where(lost, 0, np.maximum(0, furthest + 1 - low))
+        of = np.repeat(np.arange(len(order)), windows)
+        if len(of):
+            back = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+            rows = _windows(runs.rows, order[of], back)
+            facts, at = facts[of], at[of] - back
             order, first, rows = _settle(rows, facts[:, 0])
-            facts = facts[order]
-            out += _gone_rows(
-                [(r, p, p + MATCH, g) for _, r, g, p in facts[~first].tolist()], ranges
-            )
-            keep = facts[first]
-            table, number = np.unique(keep[:, :3], axis=0, return_inverse=True)
-            notes = np.column_stack([number.ravel(), keep[:, 3]])
-            out += _runs(rows[first], notes, table, splitters)
+            facts, at = facts[order], at[order]
+            out += _gone_rows(facts[~first], at[~first], at[~first] + MATCH, ranges)
+            _, entry, number = np.unique(facts[first, 1], return_index=True, return_inverse=True)
+            notes = np.column_stack([number, at[first]])
+            out += _runs(rows[first], notes, facts[first][entry], splitters)
         return _frame(out)
 
     return merge
 
 
-def _gone_rows(gone: list[tuple], ranges: int) -> list[tuple]:
-    if not gone:
+def _windows(contexts: np.ndarray, of: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """The strings of contexts that start so far before their anchor."""
+    rows = np.empty((len(of), MATCH), np.uint8)
+    place = np.arange(MATCH)
+    for a in range(0, len(of), 1 << 15):
+        b = slice(a, a + (1 << 15))
+        after = place - back[b, None]
+        rows[b] = contexts[of[b, None], np.where(after < 0, _RIGHT - 1 - after, after)]
+    return rows
+
+
+def _gone_rows(facts: np.ndarray, begin: np.ndarray, end: np.ndarray, ranges: int) -> list[tuple]:
+    """Removed spans of documents known by (doc_id, row_id, grp)."""
+    if not len(facts):
         return []
-    rows = np.array(gone, np.int64)
-    spans = _spans(rows[:, 0], rows[:, 1], rows[:, 2])
-    of = rows[np.argsort(rows[:, 0], kind="stable")]
-    grp = of[np.searchsorted(of[:, 0], spans[:, 0]), 3]
+    spans = _spans(facts[:, 1], begin, end)
+    row_ids, entry = np.unique(facts[:, 1], return_index=True)
+    grp = facts[entry[np.searchsorted(row_ids, spans[:, 0])], 2]
     return list(_removed(spans, grp, ranges))
 
 
 def _merged_windows(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Equal windows of a range: all but those of the smallest document are removed."""
     passed = frame["kind"] == REMOVED
-    gone: list[tuple] = []
-    group: list[tuple] = []
-
-    def close() -> None:
-        if len(group) > 1:
-            facts = [(*run.table[run.notes[0, i]].tolist(), int(run.notes[1, i])) for run, i in group]
-            least = min(f[0] for f in facts)
-            gone.extend((r, p, p + MATCH, g) for doc, r, g, p in facts if doc != least)
-
-    for shared, _, run, i in merge_runs(list(frame.loc[~passed, "blob"])):
-        if shared < MATCH:
-            close()
-            group.clear()
-        group.append((run, i))
-    close()
     out = [tuple(row) for row in frame[passed].itertuples(index=False)]
-    return _frame(out + _gone_rows(gone, 1))
+    if passed.all():
+        return _frame(out)
+    runs = Runs(list(frame.loc[~passed, "blob"]))
+    order, shared = merged(runs)
+    facts, at = runs.table[runs.entry[order]], runs.notes[0][order]
+    heads = np.flatnonzero(shared < MATCH)
+    sizes = np.diff(np.append(heads, len(order)))
+    lost = facts[:, 0] != np.repeat(np.minimum.reduceat(facts[:, 0], heads), sizes)
+    return _frame(out + _gone_rows(facts[lost], at[lost], at[lost] + MATCH, 1))
 
 
 KEPT = "row_id long, doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
@@ -453,6 +445,13 @@ def _kept(key: tuple, packed: pd.DataFrame, removed: pd.DataFrame) -> pd.DataFra
     return frame.astype({"doc_id": "Int64"})
 
 
+def _parts(n_bytes: int, bounds: tuple[int, int]) -> int:
+    """Parts of about the same size: PARTS of them as long as that is within the bounds,
+    so that neither tasks nor the number of runs between them grow alone."""
+    least, most = bounds
+    return -(-n_bytes // min(most, max(least, n_bytes // PARTS)))
+
+
 def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     """row_id, doc_id, n_bytes, n_removed, spans and kept bytes of every row of ``docs``.
 
@@ -474,12 +473,14 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     again, as rows are told apart by their place, the monotonically increasing id that
     is returned as ``row_id``. Other columns are ignored.
     """
-    n_docs = docs.count()
-    groups = max(16, -(-n_docs // GROUP_DOCS))
-    ranges = max(12, -(-n_docs // RANGE_DOCS))
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
+    n_docs, n_bytes = docs.agg(F.count(F.lit(1)), size).first()
+    groups = max(16, _parts(n_bytes, GROUP_BYTES))
+    ranges = max(12, _parts(n_bytes, RANGE_BYTES))
+    bits = (max(BUCKETS, n_bytes // BUCKET_BYTES) - 1).bit_length()
     splitters = _splitters(docs, n_docs, ranges)
     repeated = (
-        _anchor_hashes(docs, groups)
+        _anchor_hashes(docs, groups, bits)
         .groupBy("bucket")
         .applyInPandas(_repeated_codes(groups), "grp int, bucket int, codes binary")
     )
@@ -487,7 +488,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         _grouped(docs, groups)
         .groupBy("grp")
         .cogroup(repeated.groupBy("grp"))
-        .applyInPandas(_context_runs(splitters), _KEYED)
+        .applyInPandas(_context_runs(splitters, bits), _KEYED)
     )
     windows = contexts.groupBy("key").applyInPandas(_merged_contexts(splitters), _KEYED)
     removed = windows.groupBy("key").applyInPandas(_merged_windows, _KEYED).select("grp", "blob")

@@ -199,21 +199,37 @@ def test_suffix_dedup_of_no_documents(no_docs):
     assert suffix_dedup.remove_repeated_passages(no_docs).count() == 0
 
 
-def test_merging_runs_is_sorting():
-    from starmill.llm.runs import common_prefixes, encode_run, merge_runs
+@pytest.mark.parametrize("sizes", [(0, 1, 40, 7, 200), (3000, 0, 2500, 1, 4000), (1,), (5, 5)])
+def test_merging_runs_is_sorting(sizes):
+    from starmill.llm.runs import Runs, common_prefixes, encode_run, merged
 
     draw = np.random.default_rng(1)
     blobs, everything = [], []
-    for n in (0, 1, 40, 7, 200):
+    for n in sizes:
         rows = draw.integers(97, 99, (n, 12)).astype(np.uint8)
         rows = rows[np.lexsort(rows.T[::-1])]
-        notes = np.zeros((n, 1), np.int64)
-        blobs.append(encode_run(rows, notes, np.zeros((1, 1), np.int64)))
+        notes = np.column_stack([np.zeros(n, np.int64), len(everything) + np.arange(n)])
+        blobs.append(encode_run(rows, notes, np.full((1, 1), len(blobs))))
         everything += [r.tobytes() for r in rows]
-    merged = list(merge_runs(blobs))
-    assert [row for _, row, _, _ in merged] == sorted(everything)
-    rows = np.array([list(row) for _, row, _, _ in merged], np.uint8)
-    assert [shared for shared, *_ in merged] == common_prefixes(rows).tolist()
+    runs = Runs(blobs)
+    order, shared = merged(runs)
+    rows = runs.rows[order]
+    assert [r.tobytes() for r in rows] == sorted(everything)
+    assert shared.tolist() == common_prefixes(rows).tolist()
+    assert [everything[i] for i in runs.notes[0][order]] == sorted(everything)
+    source = np.repeat(np.arange(len(sizes)), sizes)
+    assert runs.table[runs.entry, 0].tolist() == source.tolist()
+
+
+def test_loser_tree_shares_are_those_of_neighbours():
+    from starmill.llm.runs import merge_heads
+
+    lists = [[b"aab", b"abb", b"bbb"], [], [b"aaa", b"aab"], [b"bba"]]
+    strings = [s for some in lists for s in some]
+    cuts = np.cumsum([0] + [len(some) for some in lists]).tolist()
+    prefixes = [0, 1, 0, 0, 2, 0]
+    found = [(same, strings[place]) for same, place in merge_heads(strings, prefixes, cuts)]
+    assert found == [(0, b"aaa"), (2, b"aab"), (3, b"aab"), (1, b"abb"), (0, b"bba"), (2, b"bbb")]
 
 
 @pytest.mark.parametrize("by", ["line", "sentence", "paragraph"])
