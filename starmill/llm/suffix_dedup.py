@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from starmill.llm.anchors import Anchors
 from starmill.llm.common import utf8
-from starmill.llm.runs import Runs, encode_run, merged
+from starmill.llm.runs import Runs, encode_run, from_planes, merged, planes
 
 #: Bytes that must agree, and those of the run that anchors them.
 MATCH, GRAM = 50, 24
 #: Parts into which groups of documents and ranges of suffixes cut all bytes, and how
 #: many bytes a group and a range have at least and at most, for what a task can hold.
 PARTS = 1024
-GROUP_BYTES, RANGE_BYTES = (4 << 20, 32 << 20), (4 << 20, 128 << 20)
+GROUP_BYTES, RANGE_BYTES = (8 << 20, 32 << 20), (8 << 20, 128 << 20)
 #: Text whose anchors make a bucket of hash values; buckets at least.
 BUCKET_BYTES, BUCKETS = 64 << 20, 1024
 #: Anchors that a task gathers before it hands on their hashes.
@@ -115,7 +115,9 @@ def _anchor_hashes(docs: DataFrame, groups: int, bits: int) -> DataFrame:
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = np.append(cuts[1:], len(bucket))
             blobs = [
-                np.array([b - a], "<i8").tobytes() + code[a:b].tobytes() + _narrow(groups_[a:b], groups)
+                np.array([b - a], "<i8").tobytes()
+                + planes(np.diff(code[a:b], prepend=np.uint32(0)), "<u4").tobytes()
+                + _narrow(groups_[a:b], groups)
                 for a, b in zip(cuts, ends)
             ]
             return pa.RecordBatch.from_pydict({"bucket": bucket[cuts], "blob": blobs}, schema=schema)
@@ -156,7 +158,7 @@ def _repeated_codes(groups: int):
         kind = _group_kind(groups)
         for blob in frame["blob"]:
             (n,) = np.frombuffer(blob, "<i8", 1)
-            codes.append(np.frombuffer(blob, "<u4", n, 8))
+            codes.append(np.cumsum(from_planes(blob, n, 8, "<u4"), dtype=np.uint32))
             grps.append(np.frombuffer(blob, kind, n, 8 + 4 * n).astype(np.int64))
         code, grp = np.concatenate(codes), np.concatenate(grps)
         marked = grp < 0
