@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,23 @@ def releasing(step: Step) -> Step:
     return run
 
 
+def releasing_group(step: Callable, inputs: int = 1) -> Callable:
+    """A step over the frames of one group that releases its memory when it is done.
+
+    Spark reads off the number of arguments whether a step takes the key.
+    """
+
+    def run(key: tuple, *frames: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return step(key, *frames)
+        finally:
+            release_memory()
+
+    if inputs == 1:
+        return lambda key, frame: run(key, frame)
+    return lambda key, left, right: run(key, left, right)
+
+
 class Carried:
     """Columns that pass through a Python stage unseen, whatever their names."""
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import batches, utf8
+from starmill.llm.common import batches, releasing, utf8
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -319,4 +319,4 @@ def pack_documents(
         yield from batches(placed(), _ARROW, 1024)
 
     rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("text"))
-    return rows.mapInArrow(pack, SCHEMA)
+    return rows.mapInArrow(releasing(pack), SCHEMA)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.anchors import Anchors
-from starmill.llm.common import utf8
+from starmill.llm.common import releasing, releasing_group, utf8
 from starmill.llm.runs import Runs, encode_run, from_planes, merged, planes
 
 #: Bytes that must agree, and those of the run that anchors them.
@@ -58,7 +58,7 @@ def _grouped(docs: DataFrame, groups: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"grp": keys, "blob": blobs}, schema=_PACKED)
 
     rows = _rows(docs, groups)
-    return rows.mapInArrow(pack, "grp int, blob binary")
+    return rows.mapInArrow(releasing(pack), "grp int, blob binary")
 
 
 def _rows(docs: DataFrame, groups: int) -> DataFrame:
@@ -140,7 +140,7 @@ def _anchor_hashes(docs: DataFrame, groups: int, bits: int) -> DataFrame:
         if size:
             yield leave()
 
-    return _rows(docs, groups).select("grp", "text").mapInArrow(gather, "bucket int, blob binary")
+    return _rows(docs, groups).select("grp", "text").mapInArrow(releasing(gather), "bucket int, blob binary")
 
 
 def _narrow(groups_: np.ndarray, groups: int) -> bytes:
@@ -196,7 +196,7 @@ def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> np.ndarray:
 
     wanted = max(SAMPLE_DOCS, SAMPLE_RANGE_DOCS * ranges)
     sample = docs.select(utf8().alias("text")).sample(min(1.0, wanted / max(1, n_docs)), seed=5)
-    found = sample.mapInArrow(some, "suffix binary").toArrow().column("suffix")
+    found = sample.mapInArrow(releasing(some), "suffix binary").toArrow().column("suffix")
     ordered = np.sort(np.array(found.to_pylist(), f"S{MATCH}"))
     return ordered[len(ordered) * np.arange(1, ranges) // ranges] if len(ordered) else ordered
 
@@ -484,14 +484,17 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     repeated = (
         _anchor_hashes(docs, groups, bits)
         .groupBy("bucket")
-        .applyInPandas(_repeated_codes(groups), "grp int, bucket int, codes binary")
+        .applyInPandas(releasing_group(_repeated_codes(groups)), "grp int, bucket int, codes binary")
     )
     contexts = (
         _grouped(docs, groups)
         .groupBy("grp")
         .cogroup(repeated.groupBy("grp"))
-        .applyInPandas(_context_runs(splitters, bits), _KEYED)
+        .applyInPandas(releasing_group(_context_runs(splitters, bits), 2), _KEYED)
     )
-    windows = contexts.groupBy("key").applyInPandas(_merged_contexts(splitters), _KEYED)
-    removed = windows.groupBy("key").applyInPandas(_merged_windows, _KEYED).select("grp", "blob")
-    return _grouped(docs, groups).groupBy("grp").cogroup(removed.groupBy("grp")).applyInPandas(_kept, KEPT)
+    settled = releasing_group(_merged_contexts(splitters))
+    windows = contexts.groupBy("key").applyInPandas(settled, _KEYED)
+    removed = windows.groupBy("key").applyInPandas(releasing_group(_merged_windows), _KEYED)
+    removed = removed.select("grp", "blob").groupBy("grp")
+    kept = releasing_group(_kept, 2)
+    return _grouped(docs, groups).groupBy("grp").cogroup(removed).applyInPandas(kept, KEPT)
