@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 from starmill.functions.buckets import LENGTH_EDGES, LENGTH_LABELS, PRICE_EDGES, PRICE_LABELS
 from starmill.functions.parsing import BY_PREFIX_PATTERN, PRICE_PATTERN
+from starmill.functions.text import ASCII_WORD
 
 
 def _case(value: str, edges: Sequence[float], results: Sequence) -> str:
@@ -41,9 +42,10 @@ def register_functions(spark: SparkSession) -> None:
              try_cast(replace(regexp_extract(raw, r'{PRICE_PATTERN}', 1), ',', '') AS DOUBLE)""",
         rf"""{create} clean_brand(raw STRING) RETURNS STRING RETURN
              regexp_replace(regexp_replace(coalesce(raw, ''), r'{BY_PREFIX_PATTERN}', ''), r'\s+', ' ')""",
+        # No WHERE around the words: Spark would then join the found ones back by the whole text.
         f"""{create} words(body STRING, min_chars INT) RETURNS TABLE (word STRING) RETURN
-             SELECT lower(found) FROM explode(regexp_extract_all(body, '[a-zA-Z0-9]+', 0)) AS t(found)
-             WHERE length(found) >= min_chars""",
+             SELECT lower(found) FROM explode(regexp_extract_all(body,
+                 concat('[{ASCII_WORD}]{{', if(min_chars < 1, 1, min_chars), ',}}'), 0)) AS t(found)""",
         *bucket_functions("length", LENGTH_EDGES, LENGTH_LABELS),
         *bucket_functions("price", PRICE_EDGES, PRICE_LABELS),
     ]
