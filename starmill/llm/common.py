@@ -89,10 +89,12 @@ def release_memory() -> None:
 
 
 def releasing(step: Step) -> Step:
-    """A step over record batches that releases its memory when it ends."""
+    """A step over record batches that releases its memory when it ends, and ahead of it
+    what other functions of the same worker have left."""
 
     @functools.wraps(step)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         try:
             yield from step(batches)
         finally:

@@ -79,9 +79,11 @@ class WordCache:
 
     def _direct_pattern(self):
         """The pre-tokenizer's pattern if the chain is lower-casing, cutting and bytes."""
-        made = json.loads(self._tokenizer.to_str())
-        steps = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
-        cutting = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        # Only these two parts: the whole tokenizer as objects takes its memory several times.
+        parts = (self._tokenizer.normalizer, self._tokenizer.pre_tokenizer)
+        normalizer, cutter = (json.loads(p.__getstate__()) if p else {} for p in parts)
+        steps = [n["type"] for n in normalizer.get("normalizers", [])]
+        cutting = cutter.get("pretokenizers", [])
         if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cutting] != [
             "Split",
             "ByteLevel",

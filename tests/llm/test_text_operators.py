@@ -427,6 +427,26 @@ def test_samples_follow_the_distribution_without_replacement():
     assert all(len({tuple(x[0]) for x in d}) == 4 and d[0][3] == 1.0 for d in draws)
 
 
+def test_steps_release_what_others_left_before_they_begin(monkeypatch):
+    from starmill.llm import common
+
+    seen = []
+    monkeypatch.setattr(common, "release_memory", lambda: seen.append("release"))
+    assert list(common.releasing(lambda parts: (seen.append(p) or p for p in parts))(iter([1, 2]))) == [1, 2]
+    assert seen == ["release", 1, 2, "release"]
+
+
+def test_the_direct_pattern_needs_no_copy_of_the_whole_tokenizer():
+    cache = packing.WordCache(TOKENIZER)
+    inner = cache._tokenizer
+
+    class Parts:
+        normalizer, pre_tokenizer = inner.normalizer, inner.pre_tokenizer
+
+    cache._tokenizer = Parts()
+    assert cache._direct_pattern()("don't 12") == ["don", "'t", "1", "2"]
+
+
 def test_ordinal_regression_and_severity(spark, no_docs):
     draw = random.Random(1)
     rows, labels = [], []
