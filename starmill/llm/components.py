@@ -15,9 +15,10 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over ``links`` (a, b), both ways.
 
     Every round links larger neighbours, then smaller ones, to the smallest neighbour;
-    the rounds needed grow with the logarithm of the longest path. Each round is written
-    to the shared folder, so that a lost executor repeats one round at most. Ids without
-    a link to another id are not returned.
+    the rounds needed grow with the logarithm of the longest path. They end when all links
+    are stars around a smallest id. Each round is written to the shared folder, so that a
+    lost executor repeats one round at most. Ids without a link to another id are not
+    returned.
     """
     edges = stored(
         links.where(F.col("a") != F.col("b"))
@@ -25,8 +26,7 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = _fingerprint(edges)
-    while True:
+    while not _are_stars(edges):
         both = edges.union(edges.select("v", "u"))
         large = _with_least(both, F.least(F.min("v"), F.first("u")))
         large = large.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -35,12 +35,9 @@ def components(links: DataFrame) -> DataFrame:
         small = linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(linked.select("u", F.col("m").alias("v")))
         edges = stored(small.where(F.col("u") != F.col("v")).distinct(), "links")
-        after = _fingerprint(edges)
-        if after == before:
-            return edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).union(
-                edges.select("v", "v").distinct()
-            )
-        before = after
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
+        edges.select("v", "v").distinct()
+    )
 
 
 def _with_least(edges: DataFrame, least: Column) -> DataFrame:
@@ -57,7 +54,9 @@ def _with_least(edges: DataFrame, least: Column) -> DataFrame:
     return dealt.join(known, ["u", "part"]).select("u", "v", "m")
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """What changes as long as edges do."""
-    mixed = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(mixed)).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every id has one smaller neighbour or larger ones only."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return ends.where(F.col("down") + F.col("up") > 1).where(F.col("down") > 0).isEmpty()

@@ -241,14 +241,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     families = stored(_connected(links), "families")
     rest = _rest(shared, families, texts, words, percent)
     more = _verified(_likely(rest, classes, percent), texts, words, percent)
-    joined = families.select(F.col("id").alias("a"), F.col("family").alias("b")).union(more)
     # Rows of one class, and those of one doc_id, belong together.
     members = classes.select("id", *digest).join(real.select("doc_id", *digest), digest)
-    joined = joined.union(members.select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    final = components(joined)
+    members = stored(members.select("doc_id", "id"), "class-members")
+    component = _joined_families(families, more.union(_of_one_document(members)))
+    found = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    found = found.where(F.col("component") < F.col("doc_id")).select("doc_id", "component").distinct()
     row = sketched.select("doc_id", "n_shingles")
     component = F.coalesce("component", "doc_id")
-    return row.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+    return row.join(found, "doc_id", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -256,6 +257,29 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     )
 
 
+def _of_one_document(members: DataFrame) -> DataFrame:
+    """Links (a, b) of the classes in which rows of one document are."""
+    ends = members.groupBy("doc_id").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    several = members.join(ends.where("low < high"), "doc_id").where("id > low")
+    return several.select(F.col("id").alias("a"), F.col("low").alias("b"))
+
+
+def _joined_families(families: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) of all classes in a component of several, by links of their families."""
+    links = stored(links, "more-links")
+    for side in ("a", "b"):
+        own = families.select(F.col("id").alias(side), F.col("family").alias(f"family_{side}"))
+        links = links.join(own, side, "left")
+    joined = components(
+        links.select(F.coalesce("family_a", "a").alias("a"), F.coalesce("family_b", "b").alias("b"))
+    )
+    alone = joined.join(families, "id", "left_anti").select("id", F.col("id").alias("family"))
+    classes = families.union(alone)
+    return classes.join(joined.withColumnRenamed("id", "family"), "family", "left").select(
+        "id", F.coalesce("component", "family").alias("component")
+    )
+
+
 def _bands(classes: DataFrame, percent: int) -> DataFrame:
     """(band, id, hub) of the band values that several classes share. The hub is the
     class whose band values are shared most; ties take the smaller id."""

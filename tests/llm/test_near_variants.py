@@ -74,3 +74,17 @@ def test_components_of_a_star_and_a_chain(spark, monkeypatch):
     df = spark.createDataFrame(links, "a long, b long")
     found = {r.id: r.component for r in components(df).collect()}
     assert found == {i: 0 for i in range(500)} | {1000 + i: 1000 for i in range(61)}
+
+
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    from starmill.llm import components as module
+
+    written = []
+    write = module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: written.append(label) or write(df, label))
+    links = [(0, i) for i in range(1, 50)] + [(i, 100) for i in range(101, 120)] + [(5, 0)]
+    found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(50)} | {i: 100 for i in range(100, 120)}
+    assert written == ["links"]
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert len(written) == 2
