@@ -153,7 +153,8 @@ def lattices(words: list[bytes], trie: Trie) -> Lattices:
     none = [np.zeros(0, np.int64)]
     s, e, p = (np.concatenate(x or none) for x in (start, end, piece))
     level = e - np.repeat(first, sizes + 1)[e] if len(e) else e
-    order = np.lexsort((e, level))
+    # By level, end and size, in one number that no two arcs share.
+    order = np.argsort((level * (len(data) + len(words) + 1) + e) * (trie.longest + 1) + (e - s))
     levels = np.searchsorted(level[order], np.arange(1, int(sizes.max(initial=0)) + 2))
     return Lattices(first, first + sizes, s[order], e[order], p[order], levels)
 
@@ -180,7 +181,9 @@ def backward(words: Lattices, log_probs: np.ndarray) -> np.ndarray:
     ahead[words.last] = 0.0
     # By falling start position, so that all that follows a node is known.
     position = words.start - np.repeat(words.first, words.last - words.first + 1)[words.start]
-    order = np.lexsort((words.start, -position))
+    sizes = words.end - words.start
+    key = (position.max(initial=0) - position) * (words.nodes + 1) + words.start
+    order = np.argsort(key * (sizes.max(initial=0) + 1) + sizes)
     start, end, piece, falling = words.start[order], words.end[order], words.piece[order], -position[order]
     cuts = np.flatnonzero(np.diff(falling, prepend=1)) if len(falling) else falling
     for a, b in zip(cuts, [*cuts[1:], len(falling)]):

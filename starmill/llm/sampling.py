@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import batches, mix64, utf8
+from starmill.llm.common import batches, mix64, releasing, utf8
 from starmill.llm.pieces import Vocabulary, backward, lattices
 
-#: Distinct units whose lattices a task holds; beyond, it forgets them and starts anew.
+#: Distinct units whose lattices a task holds; beyond, it forgets those that it met once.
 CACHED_UNITS = 150_000
 _UNIT = re.compile(rb"\n| *[^ \n]+| +")
 
@@ -62,30 +62,57 @@ class Sampler:
         self._clear()
 
     def _clear(self) -> None:
-        self._first: dict[bytes, int] = {}
+        self._numbers: dict[bytes, int] = {}
+        self._first = self._met = np.zeros(0, np.int64)  # first node, calls that met it; by number
         self._nodes = 0
-        self._ladder = np.zeros(0)
-        self._next = self._piece = np.zeros(0, np.int64)
-        self._chance = self._weight = np.zeros(0)
+        self._ladder = self._chance = np.zeros(0)
+        self._next = self._piece = np.zeros(0, np.int32)
         self._arcs = np.zeros(1, np.int64)  # first arc of every node
 
     def units(self, text: bytes) -> list[bytes]:
         return _UNIT.findall(text) if self._apart else [text] * bool(text)
 
     def learn(self, units: set[bytes]) -> None:
-        new = units.difference(self._first)
-        if len(new) + len(self._first) > self._limit:
-            self._clear()
-            new = units
+        """Hold the lattices of all these units."""
+        new = units.difference(self._numbers)
+        if len(new) + len(self._numbers) > self._limit:
+            self._forget(units)
+            new = units.difference(self._numbers)
         ordered = list(new)
         for a in range(0, len(ordered), 20_000):
             self._add(ordered[a : a + 20_000])
 
+    def _forget(self, units: set[bytes]) -> None:
+        """Keep what was met again or is asked for now, unless that is most of it."""
+        again = np.flatnonzero(self._met > 1)
+        names = list(self._numbers)
+        known = [self._numbers[u] for u in units if u in self._numbers]
+        kept = np.union1d(again, np.array(known, np.int64))
+        if 2 * len(kept) > self._limit:
+            kept = np.array(sorted(known), np.int64)
+        if 2 * len(kept) > self._limit:
+            kept = kept[:0]
+        ends = np.append(self._first, self._nodes)
+        first, sizes = ends[kept], np.diff(ends)[kept]
+        begin = np.cumsum(sizes) - sizes
+        nodes = np.repeat(first - begin, sizes) + np.arange(int(sizes.sum()))
+        counts = np.diff(self._arcs)[nodes]
+        arcs = np.repeat(self._arcs[nodes] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        moved = np.repeat(np.repeat(begin - first, sizes), counts)
+        follow = self._next[arcs]
+        self._next = np.where(follow < 0, -1, follow + moved).astype(np.int32)
+        self._ladder, self._chance, self._piece = self._ladder[arcs], self._chance[arcs], self._piece[arcs]
+        self._arcs = np.concatenate([[0], np.cumsum(counts)])
+        self._numbers = {names[i]: n for n, i in enumerate(kept.tolist())}
+        self._first, self._nodes = begin, int(sizes.sum())
+        self._met = np.ones(len(kept), np.int64)
+
     def _add(self, units: list[bytes]) -> None:
         lattice = lattices(units, self._vocabulary.trie)
         scores = self._vocabulary.log_probs[:, None]
         ahead = backward(lattice, scores)[:, 0]
-        order = np.lexsort((lattice.end, lattice.start))
+        sizes = lattice.end - lattice.start
+        order = np.argsort(lattice.start * (sizes.max(initial=0) + 1) + sizes)
         start, end, piece = lattice.start[order], lattice.end[order], lattice.piece[order]
         weight = self._vocabulary.log_probs[piece]
         chance = np.exp(weight + ahead[end] - ahead[start])
@@ -98,24 +125,28 @@ class Sampler:
         last = np.zeros(lattice.nodes, bool)
         last[lattice.last] = True
         self._ladder = np.concatenate([self._ladder, running])
-        self._next = np.concatenate([self._next, np.where(last[end], -1, end + self._nodes)])
-        self._piece = np.concatenate([self._piece, piece])
+        follow = np.where(last[end], -1, end + self._nodes).astype(np.int32)
+        self._next = np.concatenate([self._next, follow])
+        self._piece = np.concatenate([self._piece, piece.astype(np.int32)])
         self._chance = np.concatenate([self._chance, chance])
-        self._weight = np.concatenate([self._weight, weight])
         self._arcs = np.concatenate([self._arcs, arcs[1:] + self._arcs[-1]])
-        self._first.update(zip(units, (lattice.first + self._nodes).tolist(), strict=True))
+        self._numbers.update(zip(units, range(len(self._numbers), len(self._numbers) + len(units))))
+        self._first = np.concatenate([self._first, lattice.first + self._nodes])
+        self._met = np.concatenate([self._met, np.zeros(len(units), np.int64)])
         self._nodes += lattice.nodes
 
-    def _draw(self, nodes: np.ndarray, seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _draw(
+        self, nodes: np.ndarray, seeds: np.ndarray, text: np.ndarray, places: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Arcs from every node to its unit's end: arcs in order, and the owner of each.
 
-        The draws of a node depend on its seed and place only.
+        The draws of a node depend on its text's seed and its place only.
         """
         owner = np.arange(len(nodes))
         arcs, owners = [np.zeros(0, np.int64)], [owner[:0]]
         turn = 0
         while len(nodes):
-            u = _uniform(seeds[owner], places[owner], turn)
+            u = _at(_stream(seeds, turn)[text[owner]], places[owner])
             arc = self._arcs[nodes]
             low = np.flatnonzero(self._ladder[arc] < u)
             while len(low):
@@ -124,13 +155,15 @@ class Sampler:
             arcs.append(arc)
             owners.append(owner)
             going = self._next[arc] >= 0
-            nodes, owner = self._next[arc][going], owner[going]
+            nodes, owner = self._next[arc[going]].astype(np.int64), owner[going]
             turn += 1
         arc, owner = np.concatenate(arcs), np.concatenate(owners)
         order = np.argsort(owner, kind="stable")
         return arc[order], owner[order]
 
-    def sample(self, texts: list[bytes], k: int, seeds: list[int]) -> list[list[tuple]]:
+    def sample(
+        self, texts: list[bytes], k: int, seeds: list[int], split: list[list[bytes]] | None = None
+    ) -> list[list[tuple]]:
         """Per text at most k distinct segmentations: pieces, log probability given the
         text, perturbed log probability (falling) and the chance to be among the k.
 
@@ -138,32 +171,39 @@ class Sampler:
         probability, the largest of its members'. Drawing a segmentation splits the set
         it stands for at each of its steps into the way taken, which keeps the value,
         and the ways not taken, whose value is drawn below it. The best set left holds
-        the next segmentation. All texts draw their next one together.
+        the next segmentation. All texts draw their next one together. ``split`` may
+        give the texts' units.
         """
-        split = [self.units(t) for t in texts]
-        first = [np.fromiter(map(self._first.__getitem__, u), np.int64, len(u)) for u in split]
+        split = split or [self.units(t) for t in texts]
+        number = self._numbers.__getitem__
+        numbers = [np.fromiter(map(number, u), np.int64, len(u)) for u in split]
+        met = np.zeros(len(self._met), bool)
+        met[np.concatenate([*numbers, np.zeros(0, np.int64)])] = True
+        self._met += met
+        first = [self._first[n] for n in numbers]
         seed = np.array(seeds, np.int64)
         tops = -np.log(-np.log(_uniform(seed, np.zeros(len(seed), np.int64))))
         searches = [_Search() for _ in texts]
         turns = [_Turn(i, first[i], 0, [], [], float(tops[i]), 0.0) for i in range(len(texts))]
         for round_ in range(1, k + 1):
             self._extend(searches, turns, seed + 1000 * round_)
+            other = _uniform(seed + 1000 * round_, np.zeros(len(seed), np.int64), -1).tolist()
             turns = []
             for i, search in enumerate(searches):
                 turn = search.next(round_ == k)
                 if turn is not None:
-                    turns.append(self._turn(i, search, turn, first[i], int(seed[i]) + 1000 * round_))
+                    turns.append(self._turn(i, turn, first[i], other[i]))
             if not turns:
                 break
         return [s.results(self._piece) for s in searches]
 
-    def _turn(self, i: int, search: _Search, found: tuple, first: np.ndarray, seed: int) -> _Turn:
+    def _turn(self, i: int, found: tuple, first: np.ndarray, draw: float) -> _Turn:
         """Choose another arc at the step where the best set left its path."""
         path, owner, at, ruled, top = found
         arcs = range(*self._node_arcs(int(path[at])))
         arcs = np.array([a for a in arcs if a not in ruled])
         running = np.cumsum(self._chance[arcs])
-        u = float(_uniform(np.array([seed]), np.zeros(1, np.int64), -1)[0]) * running[-1]
+        u = draw * running[-1]
         arc = int(arcs[min(int(np.searchsorted(running, u, side="right")), len(arcs) - 1)])
         ruled = [*ruled, arc]
         left = float(self._chance[[a for a in arcs if a != arc]].sum())
@@ -182,7 +222,7 @@ class Sampler:
         text = np.repeat([t.text for t in turns], sizes)
         units = np.concatenate([np.arange(t.unit, t.unit + len(t.nodes)) for t in turns])
         nodes = np.concatenate([t.nodes for t in turns]).astype(np.int64)
-        arcs, owner = self._draw(nodes, seeds[text], units * 64)
+        arcs, owner = self._draw(nodes, seeds, text, units * 64)
         cuts = np.searchsorted(owner, np.concatenate([[0], np.cumsum(sizes)]))
         paths, owners = [], []
         for t, a, b in zip(turns, cuts[:-1], cuts[1:]):
@@ -207,7 +247,7 @@ class Sampler:
         with np.errstate(divide="ignore"):
             mass = before + np.log(np.maximum(left, 0.0))
         mass[step < begin[of]] = -np.inf
-        u = _uniform(seeds[np.array([t.text for t in turns])][of], step, -2)
+        u = _at(_stream(seeds, -2)[np.array([t.text for t in turns])][of], step)
         with np.errstate(invalid="ignore", over="ignore"):
             # A Gumbel variable at ``mass`` given that it is below ``top``.
             values = mass - np.log(np.exp(mass - top[of]) - np.log(u))
@@ -268,9 +308,18 @@ def _uniform(seeds: np.ndarray, places: np.ndarray, stream: int = -3) -> np.ndar
 
     Streams are apart: no sum of a seed and a stream stands for another pair of them.
     """
+    return _at(_stream(seeds, stream), places)
+
+
+def _stream(seeds: np.ndarray, stream: int) -> np.ndarray:
+    """What all numbers of a seed and a stream begin with."""
+    other = mix64(np.array([stream], np.int64).astype(np.uint64), 63)
+    return mix64(mix64(seeds, 62) ^ other, 62)
+
+
+def _at(begun: np.ndarray, places: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        mixed = mix64(seeds, 62) ^ mix64(np.array([stream], np.int64).astype(np.uint64), 63)
-        mixed = mix64(places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mix64(mixed, 62), 61)
+        mixed = mix64(places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ begun, 61)
     return ((mixed >> np.uint64(12)).astype(float) + 0.5) * 2.0**-52
 
 
@@ -304,13 +353,14 @@ def sample_segmentations(
                 for at in range(0, len(whole), 512):
                     batch = whole.slice(at, 512)
                     texts = [encode_text(t) for t in batch.column("text").to_pylist()]
-                    sampler.learn({u for t in texts for u in sampler.units(t)})
+                    split = [sampler.units(t) for t in texts]
+                    sampler.learn(set().union(*split))
                     seeds = [x >> 2 for x in batch.column("seed").to_pylist()]
-                    found = sampler.sample(texts, k, seeds)
+                    found = sampler.sample(texts, k, seeds, split)
                     for doc_id, some in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                         for rank, (path, *scores) in enumerate(some, 1):
                             yield doc_id, rank, ids[path].tobytes(), len(path), *scores
 
         yield from batches(drawn(), _ARROW, 1024)
 
-    return rows.mapInArrow(draw, SAMPLED)
+    return rows.mapInArrow(releasing(draw), SAMPLED)

@@ -427,6 +427,25 @@ def test_samples_follow_the_distribution_without_replacement():
     assert all(len({tuple(x[0]) for x in d}) == 4 and d[0][3] == 1.0 for d in draws)
 
 
+def test_forgetting_units_keeps_common_ones_and_changes_no_draw(monkeypatch):
+    texts = [b" in a thing %d of it\n in  a" % i for i in range(60)]
+    learned = Counter()
+    plain = sampling.lattices
+    whole = sampling.Sampler(VOCABULARY)
+    whole.learn({u for t in texts for u in whole.units(t)})
+    monkeypatch.setattr(sampling, "lattices", lambda units, trie: learned.update(units) or plain(units, trie))
+    small = sampling.Sampler(VOCABULARY, limit=30)
+    for i, text in enumerate(texts):
+        units = small.units(text)
+        small.learn(set(units))
+        assert len(small._numbers) <= 30 and b"".join(units) == text
+        (ours,), (theirs,) = (s.sample([text], 3, [i]) for s in (small, whole))
+        for a, b in zip(ours, theirs, strict=True):
+            assert a[0].tolist() == b[0].tolist() and a[1:] == pytest.approx(b[1:], abs=1e-9)
+    assert learned[b" in"] == learned[b" a"] == learned[b"\n"] == 1
+    assert sum(learned.values()) == len(learned)
+
+
 def test_steps_release_what_others_left_before_they_begin(monkeypatch):
     from starmill.llm import common
 
