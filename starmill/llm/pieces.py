@@ -47,13 +47,16 @@ class Trie:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The piece of every key, -1 where it only begins pieces, -2 where it does not."""
-        out = np.full(len(keys), -2, np.int32)
-        at = np.arange(len(keys))
-        for table in range(2):
-            slot = self._slot(keys[at], table)
-            hit = self._keys[table, slot] == keys[at]
-            out[at[hit]] = self._numbers[table, slot[hit]]
-            at = at[~hit]
+        slot = self._slot(keys, 0)
+        out = self._numbers[0, slot]
+        # Where the slot is free, no table has the key.
+        at = np.flatnonzero((self._keys[0, slot] != keys) & (out > -2))
+        out[at] = -2
+        slot = self._slot(keys[at], 1)
+        hit = self._keys[1, slot] == keys[at]
+        number = self._numbers[1, slot]
+        out[at[hit]] = number[hit]
+        at = at[~hit & (number > -2)]
         if len(self._rest):
             place = np.minimum(np.searchsorted(self._rest, keys[at]), len(self._rest) - 1)
             hit = self._rest[place] == keys[at]
@@ -112,8 +115,8 @@ class Lattices:
     """The lattices of several words, node after node.
 
     Word w has the nodes ``first[w]`` to ``last[w]``, one per byte position. Arcs are
-    sorted by the position of their end in the word, then by end node; ``levels`` says
-    where each position begins, so that all words advance together.
+    sorted by the falling position of their start in the word, then by start node and size;
+    ``levels`` says where each position begins, so that all words advance together.
     """
 
     first: np.ndarray
@@ -132,31 +135,45 @@ def lattices(words: list[bytes], trie: Trie) -> Lattices:
     """Every way to write the words as pieces."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     first = np.cumsum(sizes + 1) - (sizes + 1)
-    data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
-    word = np.repeat(np.arange(len(words)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # bytes to the word's end
-    at, key = np.arange(len(data)), np.zeros(len(data), np.uint64)
-    start, end, piece = [], [], []
+    spelled = np.frombuffer(b"".join(words), np.uint8)
+    nodes = len(spelled) + len(words)
+    at = np.arange(len(spelled)) + np.repeat(np.arange(len(words)), sizes)
+    data = np.zeros(nodes, np.uint64)  # 0 at a word's end
+    data[at] = spelled.astype(np.uint64) + np.uint64(1)
+    key = np.zeros(len(at), np.uint64)
+    counts = np.zeros(nodes, np.int64)
+    none = [np.zeros(0, np.int64)]
+    starts, ends, pieces, ranks = [*none], [*none], [*none], [*none]
     for size in range(1, trie.longest + 1):
-        inside = left[at] >= size
-        at, key = at[inside], key[inside]
-        if not len(at):
-            break
+        byte = data[at + size - 1]
         with np.errstate(over="ignore"):
-            key = key * _FACTOR + data[at + size - 1]
+            key = key * _FACTOR + byte
         found = trie.find(key)
-        node = at[found >= 0] + word[at[found >= 0]]
-        start.append(node)
-        end.append(node + size)
-        piece.append(found[found >= 0].astype(np.int64))
-        at, key = at[found > -2], key[found > -2]
-    none = [np.zeros(0, np.int64)]
-    s, e, p = (np.concatenate(x or none) for x in (start, end, piece))
-    level = e - np.repeat(first, sizes + 1)[e] if len(e) else e
-    # By level, end and size, in one number that no two arcs share.
-    order = np.argsort((level * (len(data) + len(words) + 1) + e) * (trie.longest + 1) + (e - s))
-    levels = np.searchsorted(level[order], np.arange(1, int(sizes.max(initial=0)) + 2))
-    return Lattices(first, first + sizes, s[order], e[order], p[order], levels)
+        found[byte == 0] = -2
+        hit = np.flatnonzero(found >= 0)
+        node = at[hit]
+        starts.append(node)
+        ends.append(node + size)
+        pieces.append(found[hit])
+        ranks.append(counts[node])
+        counts[node] += 1
+        on = np.flatnonzero(found > -2)
+        at, key = at[on], key[on]
+        if not len(at):
+            break
+    # Every arc goes straight to its place: behind those of nodes ahead of its own, then by size.
+    highest = int(sizes.max(initial=0))
+    falling = highest - (np.arange(nodes) - np.repeat(first, sizes + 1))
+    order = np.argsort(falling.astype(np.min_scalar_type(highest)), kind="stable")
+    until = np.cumsum(counts[order])
+    begin = np.empty(nodes, np.int64)
+    begin[order] = until - counts[order]
+    s = np.concatenate(starts)
+    place = begin[s] + np.concatenate(ranks)
+    start, end, piece = np.empty((3, len(s)), np.int64)
+    start[place], end[place], piece[place] = s, np.concatenate(ends), np.concatenate(pieces)
+    levels = np.append(0, until)[np.cumsum(np.bincount(falling, minlength=highest + 1))]
+    return Lattices(first, first + sizes, start, end, piece, np.append(0, levels))
 
 
 def forward(words: Lattices, log_probs: np.ndarray) -> np.ndarray:
@@ -166,12 +183,17 @@ def forward(words: Lattices, log_probs: np.ndarray) -> np.ndarray:
     """
     reached = np.full((words.nodes, log_probs.shape[1]), -np.inf)
     reached[words.first] = 0.0
-    for a, b in zip(words.levels[:-1], words.levels[1:]):
-        if a < b:
-            ends = words.end[a:b]
-            heads = np.flatnonzero(np.diff(ends, prepend=-1))
-            steps = reached[words.start[a:b]] + log_probs[words.piece[a:b]]
-            reached[ends[heads]] = np.logaddexp.reduceat(steps, heads, axis=0)
+    # By position of the end, end and size, in one number that no two arcs share.
+    position = words.end - np.repeat(words.first, words.last - words.first + 1)[words.end]
+    sizes = words.end - words.start
+    key = position * (words.nodes + 1) + words.end
+    order = np.argsort(key * (sizes.max(initial=0) + 1) + sizes)
+    start, end, piece = words.start[order], words.end[order], words.piece[order]
+    cuts = np.flatnonzero(np.diff(position[order], prepend=-1, append=-1))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        heads = np.flatnonzero(np.diff(end[a:b], prepend=-1))
+        steps = reached[start[a:b]] + log_probs[piece[a:b]]
+        reached[end[a:b][heads]] = np.logaddexp.reduceat(steps, heads, axis=0)
     return reached
 
 
@@ -180,16 +202,12 @@ def backward(words: Lattices, log_probs: np.ndarray) -> np.ndarray:
     ahead = np.full((words.nodes, log_probs.shape[1]), -np.inf)
     ahead[words.last] = 0.0
     # By falling start position, so that all that follows a node is known.
-    position = words.start - np.repeat(words.first, words.last - words.first + 1)[words.start]
-    sizes = words.end - words.start
-    key = (position.max(initial=0) - position) * (words.nodes + 1) + words.start
-    order = np.argsort(key * (sizes.max(initial=0) + 1) + sizes)
-    start, end, piece, falling = words.start[order], words.end[order], words.piece[order], -position[order]
-    cuts = np.flatnonzero(np.diff(falling, prepend=1)) if len(falling) else falling
-    for a, b in zip(cuts, [*cuts[1:], len(falling)]):
-        heads = np.flatnonzero(np.diff(start[a:b], prepend=-1))
-        steps = ahead[end[a:b]] + log_probs[piece[a:b]]
-        ahead[start[a:b][heads]] = np.logaddexp.reduceat(steps, heads, axis=0)
+    for a, b in zip(words.levels[:-1], words.levels[1:]):
+        if a < b:
+            starts = words.start[a:b]
+            heads = np.flatnonzero(np.diff(starts, prepend=-1))
+            steps = ahead[words.end[a:b]] + log_probs[words.piece[a:b]]
+            ahead[starts[heads]] = np.logaddexp.reduceat(steps, heads, axis=0)
     return ahead
 
 

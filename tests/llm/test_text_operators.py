@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -446,6 +447,82 @@ def test_forgetting_units_keeps_common_ones_and_changes_no_draw(monkeypatch):
     assert sum(learned.values()) == len(learned)
 
 
+def test_units_are_numbered_once_for_all_texts_of_a_call():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, unit):
+            self.asked += 1
+            return super().__getitem__(unit)
+
+    sampler = sampling.Sampler(VOCABULARY)
+    sampler.learn({b" in", b" a"})
+    sampler._numbers = Counted(sampler._numbers)
+    (found,), (again,) = sampler.sample([b" in a" * 500], 1, [5]), sampler.sample([b" in a" * 500], 1, [5])
+    assert sampler._numbers.asked <= 4
+    assert b"".join(VOCABULARY.pieces[i] for i in found[0][0]) == b" in a" * 500
+    assert found[0][0].tolist() == again[0][0].tolist()
+
+
+def test_units_end_where_words_and_lines_do():
+    draw = random.Random(4)
+    sampler = sampling.Sampler(VOCABULARY)
+    whole = sampling.Sampler(pieces.Vocabulary.of([b"a", b"b", b" ", b"\n", b"a b"], range(5), np.zeros(5)))
+    for _ in range(300):
+        text = "".join(draw.choice("ab \n\t\u00e9") for _ in range(draw.randrange(12))).encode()
+        assert sampler.units(text) == re.findall(rb"\n| *[^ \n]+| +", text)
+        assert whole.units(text) == [text] * bool(text)
+    units, cuts = sampler._cut([b"", b" a b", b"", b" c\n"])
+    assert units.to_pylist() == [b" a", b" b", b" c", b"\n"] and cuts.tolist() == [0, 0, 2, 2, 4]
+    assert sampler.sample([b"", b""], 3, [1, 2])[1][0][0].tolist() == []
+
+
+def test_lattices_hold_every_arc_in_order_without_sorting_arcs(monkeypatch):
+    draw = random.Random(5)
+    words = ["".join(draw.choice(" ainthe\u4e00") for _ in range(draw.randrange(9))).encode() for _ in range(200)]
+    words += [b"in" * 200, b""]
+    number = {p: i for i, p in enumerate(VOCABULARY.pieces)}
+    sorted_ = []
+    plain = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *x, **y: sorted_.append(a.dtype.itemsize) or plain(a, *x, **y))
+    lattice = pieces.lattices(words, VOCABULARY.trie)
+    ahead = pieces.backward(lattice, VOCABULARY.log_probs[:, None])[:, 0]
+    assert max(sorted_, default=0) <= 2  # positions in words, by radix
+    monkeypatch.undo()
+    expected, at = [], 0
+    for word in words:
+        for a in range(len(word)):
+            for b in range(a + 1, len(word) + 1):
+                if word[a:b] in number:
+                    expected.append((-a, at + a, b - a, number[word[a:b]]))
+        at += len(word) + 1
+    expected.sort()
+    ours = zip(lattice.start.tolist(), (lattice.end - lattice.start).tolist(), lattice.piece.tolist())
+    assert list(ours) == [e[1:] for e in expected]
+    reached = pieces.forward(lattice, VOCABULARY.log_probs[:, None])[:, 0]
+    assert reached[lattice.last] == pytest.approx(ahead[lattice.first], abs=1e-9)
+
+
+def test_what_samples_share_is_not_valued_again(monkeypatch):
+    numbers, drawn = [], []
+    plain, draw = sampling._at, sampling.Sampler._draw
+    monkeypatch.setattr(sampling, "_at", lambda begun, places: numbers.append(len(places)) or plain(begun, places))
+
+    def counted(self, *given):
+        out = draw(self, *given)
+        drawn.append(len(out[0]))
+        return out
+
+    monkeypatch.setattr(sampling.Sampler, "_draw", counted)
+    sampler = sampling.Sampler(VOCABULARY)
+    text = b" in a thing of it" * 200
+    sampler.learn(set(sampler.units(text)))
+    found = sampler.sample([text] * 20, 3, list(range(20)))
+    assert all(len({tuple(f[0].tolist()) for f in some}) == 3 for some in found)
+    # A number for every step drawn, one for every set that leaves it, a few for every text.
+    assert sum(numbers) <= 2 * sum(drawn) + 20 * 10
+
+
 def test_steps_release_what_others_left_before_they_begin(monkeypatch):
     from starmill.llm import common
 
